@@ -24,6 +24,7 @@ class LakeConfig:
     output: str
     staging: str
     inputs: str = ""
+    # The usual names of the source files.
     arrivals: str = "sas_data"
     temperatures: str = "GlobalLandTemperaturesByCity.csv"
     demographics: str = "us-cities-demographics.csv"

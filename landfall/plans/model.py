@@ -36,13 +36,10 @@ TEMPERATURES_NAMES = {
 def dim_calendar(arrivals, keep_unknown=True):
     """One row per arrival date, with one row for the unknown date if there is any.
 
-    Distinct day numbers are few, so they are collapsed before the conversion; the
-    second distinct merges numbers that floor to the same date.
+    Each task reduces its rows to their few distinct dates before the one shuffle;
+    the parts are derived after it.
     """
-    dates = (
-        arrivals.select("arrdate").distinct()
-        .select(day_number_to_date(F.col("arrdate")).alias("arrdate")).distinct()
-    )
+    dates = arrivals.select(day_number_to_date(F.col("arrdate")).alias("arrdate")).distinct()
     if not keep_unknown:
         dates = dates.filter(F.col("arrdate").isNotNull())
     parts = calendar_parts(F.col("arrdate"))

@@ -39,7 +39,7 @@ def build_session(app_name, conf=None, master=None):
 
 
 def scratch_dir(spark, name):
-    """A new folder name for ``name`` that every executor can reach.
+    """A new path for ``name`` that every executor can reach, removed when Spark ends.
 
     It lies under the cluster's ``spark.checkpoint.dir``. Only a local session that
     has no such setting falls back to the machine's temporary folder.
@@ -49,4 +49,9 @@ def scratch_dir(spark, name):
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         shared = tempfile.mkdtemp(prefix="landfall-")
-    return join_path(shared, f"landfall-{name}-{uuid.uuid4().hex}")
+    folder = join_path(shared, f"landfall-{uuid.uuid4().hex}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return join_path(folder, name)

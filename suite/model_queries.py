@@ -69,6 +69,11 @@ def _clean_arrivals(spark, sf_dir):
     return jobs.clean_arrivals(ARRIVALS.frame(spark, sf_dir), cleaning.ARRIVALS_BY_ID)
 
 
+def _staged_arrivals(spark, sf_dir):
+    """Cleaned once and stored, for queries that build several tables from it."""
+    return writers.stage_parquet(_clean_arrivals(spark, sf_dir), scratch_dir(spark, "staged"))
+
+
 def _demographics(spark, sf_dir):
     return model.dim_demographics(cleaning.FULL_ROW(DEMOGRAPHICS.frame(spark, sf_dir)))
 
@@ -265,7 +270,7 @@ query("written_top_states", f"""{STAR} SELECT i94addr, sum("count") AS sum_count
     SELECT f.cicid, CAST(f.arrdate AS VARCHAR) AS arrdate, f."count", i.i94cit, i.i94bir, i.gender
     FROM fact f JOIN immigrant i ON f.cicid = i.cicid""")
 def join_fact_immigrant(spark, sf_dir):
-    cleaned = _clean_arrivals(spark, sf_dir)
+    cleaned = _staged_arrivals(spark, sf_dir)
     joined = star.fact_with_immigrant(model.fact_arrivals(cleaned), model.dim_immigrant(cleaned))
     return _iso(joined.select("cicid", "arrdate", "count", "i94cit", "i94bir", "gender"), "arrdate")
 
@@ -274,7 +279,7 @@ def join_fact_immigrant(spark, sf_dir):
     SELECT f.cicid, CAST(f.arrdate AS VARCHAR) AS arrdate, c.id, c.year, c.week, c.weekday
     FROM fact f LEFT JOIN calendar c ON f.arrdate = c.arrdate""")
 def join_fact_calendar(spark, sf_dir):
-    cleaned = _clean_arrivals(spark, sf_dir)
+    cleaned = _staged_arrivals(spark, sf_dir)
     joined = star.fact_with_calendar(model.fact_arrivals(cleaned), model.dim_calendar(cleaned))
     return _iso(joined.select("cicid", "arrdate", "id", "year", "week", "weekday"), "arrdate")
 

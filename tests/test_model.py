@@ -1,0 +1,183 @@
+"""Builders, questions, star joins, checks and jobs on small hand-made data."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from landfall import schemas
+from landfall.plans import jobs, model, quality, questions, star
+from landfall.sources.paths import join_path
+
+NAN = float("nan")
+DAY = 20545.0  # 2016-04-01
+
+
+def arrivals(spark, *rows):
+    """Arrivals with the given columns; every other column is NULL."""
+    data = [tuple(r.get(f.name) for f in schemas.ARRIVALS.fields) for r in rows]
+    return spark.createDataFrame(data, schemas.ARRIVALS)
+
+
+@pytest.fixture
+def few(spark):
+    return arrivals(
+        spark,
+        dict(cicid=1.0, arrdate=DAY, count=1.0, i94addr="CA", gender="F", i94cit=101.0, i94bir=30.0),
+        dict(cicid=2.0, arrdate=DAY + 0.9, count=1.0, i94addr="CA", gender="M", i94cit=101.0, i94bir=40.0),
+        dict(cicid=3.0, arrdate=0.0, count=5.0, i94addr="NY", i94cit=102.0),
+        dict(cicid=4.0, arrdate=NAN, count=2.0),
+        dict(cicid=5.0, arrdate=None, count=1.0, gender="F", i94bir=50.0),
+        dict(cicid=5.0, arrdate=None, count=1.0, gender="F", i94bir=50.0),
+        dict(cicid=None, arrdate=DAY + 1),
+    )
+
+
+def test_calendar_has_one_row_per_date(few):
+    found = {r.arrdate: r for r in model.dim_calendar(few).collect()}
+    assert set(found) == {dt.date(2016, 4, 1), dt.date(1960, 1, 1), dt.date(2016, 4, 2), None}
+    friday = found[dt.date(2016, 4, 1)]
+    assert tuple(friday)[1:] == (20160401, 2016, 4, 1, 13, 6)
+    assert tuple(found[None]) == (None, 0, None, None, None, None, None)
+    assert model.dim_calendar(few, keep_unknown=False).count() == 3
+
+
+def test_targets_follow_their_contracts(spark, few):
+    assert quality.schema_problems(model.dim_calendar(few), schemas.DIM_CALENDAR) == []
+    assert quality.schema_problems(model.dim_immigrant(few), schemas.DIM_IMMIGRANT) == []
+    assert quality.schema_problems(model.fact_arrivals(few), schemas.FACT_ARRIVALS) == []
+    temperatures = spark.createDataFrame([], schemas.TEMPERATURES)
+    demographics = spark.createDataFrame([], schemas.DEMOGRAPHICS)
+    assert quality.schema_problems(model.dim_temperatures(temperatures), schemas.DIM_TEMPERATURES) == []
+    assert quality.schema_problems(model.dim_demographics(demographics), schemas.DIM_DEMOGRAPHICS) == []
+
+
+def test_schema_problems_are_named(few):
+    wrong = model.dim_immigrant(few).drop("gender").withColumn("i94bir", F.lit("x")).withColumn("extra", F.lit(1))
+    problems = " / ".join(quality.schema_problems(wrong, schemas.DIM_IMMIGRANT))
+    assert "gender is absent" in problems and "extra is not" in problems and "i94bir is string" in problems
+
+
+def test_questions(few):
+    fact, immigrant = model.fact_arrivals(few), model.dim_immigrant(few)
+    assert [tuple(r) for r in questions.top_states_by_sum(fact, 2).collect()] == [("NY", 5.0), (None, 4.0)]
+    assert [tuple(r) for r in questions.top_states_by_rows(fact, 2).collect()] == [(None, 4), ("CA", 2)]
+    assert [tuple(r) for r in questions.top_birth_countries(immigrant).collect()] == [
+        (None, 4), (101.0, 2), (102.0, 1)]
+    assert [tuple(r) for r in questions.gender_distribution(immigrant).collect()] == [("F", 3), (None, 3), ("M", 1)]
+    assert questions.average_age(immigrant).first()["avg_i94bir"] == 42.5
+
+
+def test_ties_at_the_last_place_are_ordered_by_key(spark):
+    fact = spark.createDataFrame([(s, 1.0) for s in "QWERTYUIOPASDF"], "i94addr string, count double")
+    assert [r.i94addr for r in questions.top_states_by_sum(fact).collect()] == sorted("QWERTYUIOPASDF")[:10]
+
+
+def demographics_dim(spark):
+    columns = "state_code string, city string, race string, total_pop long, male_pop long, female_pop long, " \
+              "foreign_born long, veteran_number long"
+    return spark.createDataFrame([
+        ("CA", "Springfield", "a", 100, 40, 60, 5, 1), ("CA", "Springfield", "b", 100, 40, 60, 5, 1),
+        ("CA", "Other", "a", 10, 4, 6, 1, None), ("NY", "springfield ", "a", 7, 3, 4, 0, 0),
+    ], columns)
+
+
+def test_state_join_does_not_multiply_rows(spark, few):
+    fact = model.fact_arrivals(few)
+    joined = star.fact_with_state(fact, demographics_dim(spark))
+    assert joined.count() == fact.count()
+    found = {r.i94addr: (r.cities, r.total_pop) for r in joined.collect()}
+    assert found == {"CA": (2, 110), "NY": (1, 7), None: (None, None)}
+
+
+def test_city_join_adds_states_up(spark):
+    temperatures = spark.createDataFrame([
+        ("SPRINGFIELD", "United States", 1.0), ("Springfield", "Elsewhere", 2.0), ("Nowhere", "United States", 3.0),
+    ], "city string, country string, avg_temp double")
+    found = star.temperatures_with_city(temperatures, demographics_dim(spark)).collect()
+    assert [(r.city, r.avg_temp, r.states, r.total_pop) for r in found] == [("SPRINGFIELD", 1.0, 2, 107)]
+
+
+def test_calendar_join_keeps_unknown_dates(few):
+    joined = star.fact_with_calendar(model.fact_arrivals(few), model.dim_calendar(few))
+    assert joined.count() == few.count()
+    assert all((r.id is None) == (r.arrdate is None) for r in joined.collect())
+
+
+def test_quality_outcomes(spark):
+    once = spark.range(3).selectExpr("id", "CAST(NULL AS STRING) AS s", "CAST('NaN' AS DOUBLE) AS x")
+    for df, total, repeats, status in (
+        (once, 3, 0, "passed"), (once.union(once.limit(2)), 5, 2, "failed"), (once.limit(0), 0, 0, "failed"),
+    ):
+        lazy, now = quality.quality_report(df, "t").first(), quality.check_table(df, "t")
+        assert tuple(lazy) == tuple(now)
+        assert (now.total_rows, now.duplicates, now.status) == (total, repeats, status)
+
+
+def test_equal_hashes_are_not_taken_for_duplicates(spark):
+    """Row hashes skip NULLs, so these different rows collide; the exact step must tell."""
+    df = spark.createDataFrame([("a", None), (None, "a")], "s string, t string")
+    assert df.select(F.xxhash64("s", "t")).distinct().count() == 1
+    check = quality.check_table(df, "t")
+    assert (check.total_rows, check.duplicates, check.status) == (2, 0, "passed")
+
+
+def test_key_and_orphan_reports(spark):
+    df = spark.createDataFrame([(1.0,), (1.0,), (2.0,), (None,), (NAN,)], "k double")
+    assert tuple(quality.unique_key_report(df, "t", ["k"]).first()) == ("t", 5, 2, 1, 2)
+    parents = spark.createDataFrame([(1.0,), (NAN,)], "p double")
+    assert tuple(quality.orphan_report(df, "k", parents, "p").first()) == (1, 1)
+
+
+def lake(spark, tmp_path, few, **rules):
+    cfg = jobs.LakeConfig(str(tmp_path / "out"), str(tmp_path / "stage"), str(tmp_path / "in"), **rules)
+    few.write.parquet(join_path(cfg.inputs, cfg.arrivals))
+    (tmp_path / "in" / cfg.temperatures).write_text(
+        "dt,AverageTemperature,AverageTemperatureUncertainty,City,Country,Latitude,Longitude\n"
+        "1743-11-01,6.07,1.74,Here,There,57.05N,10.33E\n1743-11-01,5.5,1.74,Here,There,57.05N,10.33E\n"
+        "1743-12-01,,,Here,There,57.05N,10.33E\n"
+    )
+    (tmp_path / "in" / cfg.demographics).write_text(
+        "City;State;Median Age;Male Population;Female Population;Total Population;Number of Veterans;"
+        "Foreign-born;Average Household Size;State Code;Race;Count\n"
+        + "Here;There;33.5;10;11;21;;3;2.6;TH;White;9\n" * 2 + "Here;There;33.5;10;11;21;;3;2.6;TH;Asian;7\n"
+    )
+    return cfg
+
+
+def test_whole_lake(spark, tmp_path, few):
+    cfg = lake(spark, tmp_path, few)
+    for _ in range(2):  # a second run replaces the first
+        checks = {c.table_name: c for c in jobs.run_all(spark, cfg)}
+        assert {n: c.total_rows for n, c in checks.items()} == {
+            "dim_calendar": 3, "dim_immigrant": 5, "fact_i94_immigration": 5,
+            "dim_usa_demographics": 2, "dim_temperatures": 1}
+        assert {c.status for c in checks.values()} == {"passed"}
+    assert jobs.report_frame(spark, list(checks.values())).count() == 5
+    for table, contract in schemas.TARGETS.items():
+        assert quality.schema_problems(jobs.read_table(spark, cfg, table), contract) == []
+    assert jobs.read_table(spark, cfg, "dim_temperatures").first().avg_temp == 5.5
+    ids = [r.id for r in jobs.read_table(spark, cfg, "dim_usa_demographics").collect()]
+    assert len(set(ids)) == 2
+
+
+def test_full_row_rule_keeps_rows_without_a_key(spark, tmp_path, few):
+    cfg = lake(spark, tmp_path, few, arrivals_rule=jobs.cleaning.FULL_ROW)
+    checks = {c.table_name: c for c in jobs.run_arrivals(spark, cfg)}
+    assert checks["fact_i94_immigration"].total_rows == 6
+
+
+def test_repeated_rows_fail_the_check(spark, tmp_path, few):
+    keep_all = lambda df: df
+    keep_all.keys = None
+    cfg = lake(spark, tmp_path, few, arrivals_rule=keep_all)
+    checks = {c.table_name: c for c in jobs.run_arrivals(spark, cfg)}
+    assert (checks["dim_immigrant"].duplicates, checks["dim_immigrant"].status) == (1, "failed")
+
+
+def test_calendar_refresh(spark, tmp_path, few):
+    cfg = lake(spark, tmp_path, few)
+    jobs.run_arrivals(spark, cfg)
+    assert jobs.refresh_calendar(arrivals(spark, dict(arrdate=DAY + 4), dict(arrdate=None)), cfg) == 1
+    dates = {r.arrdate for r in jobs.read_table(spark, cfg, "dim_calendar").collect()}
+    assert dates == {dt.date(2016, 4, 5), dt.date(1960, 1, 1), None}
