@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from landfall.functions.missing import is_present, missing_count, ratio
 from landfall.functions.names import quoted
+from landfall.sources.writers import stage_parquet
 
 
 def drop_empty_rows(df, subset=None):
@@ -62,15 +63,20 @@ def drop_high_null_columns(df, thresh=0.7):
     return df.drop(*[F.col(quoted(c)) for c in flagged])
 
 
-def clean(subset=None, drop_cols=False, thresh=0.7):
+def clean(subset=None, drop_cols=False, thresh=0.7, staging=None):
     """For ``df.transform``: empty rows, then duplicates, then sparse columns.
 
-    ``drop_cols`` looks at the data while the plan is built. Stage or persist an
-    expensive input first, or it is computed twice.
+    ``drop_cols`` looks at the data while the plan is built. With ``staging``, a
+    folder that all executors can reach, the de-duplicated rows are stored there
+    first, so that the look and the later use compute them once.
     """
     def apply(df):
         cleaned = drop_duplicate_rows(drop_empty_rows(df, subset), subset)
-        return drop_high_null_columns(cleaned, thresh) if drop_cols else cleaned
+        if not drop_cols:
+            return cleaned
+        if staging:
+            cleaned = stage_parquet(cleaned, staging)
+        return drop_high_null_columns(cleaned, thresh)
 
     return apply
 

@@ -8,19 +8,24 @@ from pyspark.sql import SparkSession
 from landfall.sources.paths import join_path
 
 MB = 1024 * 1024
+MAX_SCAN_TASKS = 100_000
+MAX_SHUFFLE_PARTITIONS = 32_768
 
 
 def scale_conf(input_bytes, cores):
-    """Settings sized to the input: about 256 MB per scan task, 128 MB per shuffle task.
+    """Settings sized to the input.
 
-    Adaptive execution merges shuffle partitions that turn out small, so the count
-    may err high. Skewed joins are split even where that costs one more shuffle,
-    because an unsplit hot key costs far more.
+    Scan and shuffle tasks take about 128 MB each. Beyond some 4 TB of shuffle and
+    12 TB of scan the tasks grow instead of their number, because a shuffle moves
+    (scan tasks x shuffle partitions) blocks; at 100 TB that is 1 GB a scan task and
+    a few billion blocks of about 30 KB. Adaptive execution merges partitions that
+    turn out small and splits hot ones, even where the split costs one more shuffle.
     """
-    shuffle_partitions = max(cores, -(-input_bytes // (128 * MB)))
+    shuffle_partitions = min(-(-input_bytes // (128 * MB)), MAX_SHUFFLE_PARTITIONS)
+    split = min(max(128 * MB, input_bytes // MAX_SCAN_TASKS), 1024 * MB)
     return {
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
-        "spark.sql.files.maxPartitionBytes": str((256 if input_bytes > 1024 * MB else 128) * MB),
+        "spark.sql.shuffle.partitions": str(max(cores, shuffle_partitions)),
+        "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -225,7 +225,7 @@ CLEANED_EVENTS = f"""{EVENTS_CTE}, kept AS (
 @query("clean_dataset", f"{CLEANED_EVENTS} SELECT * FROM kept")
 def clean_dataset(spark, sf_dir):
     return DIRTY_EVENTS.frame(spark, sf_dir).transform(
-        cleaning.clean(subset=["id", "kind"], drop_cols=True, thresh=0.7)
+        cleaning.clean(["id", "kind"], drop_cols=True, thresh=0.7, staging=scratch_dir(spark, "clean"))
     )
 
 

@@ -110,3 +110,9 @@ def test_named_rules(spark, rows):
     )
     assert [r.Race for r in cleaning.DEMOGRAPHICS_BY_CITY(demographics).collect()] == ["r0"]
     assert cleaning.FULL_ROW(demographics).count() == 3
+
+
+def test_staged_clean_gives_the_same_rows(spark, rows, tmp_path):
+    df = spark.createDataFrame([(1, None, 1), (1, None, 2), (2, None, 3)], "k int, s string, v int")
+    staged = df.transform(cleaning.clean(["k"], drop_cols=True, staging=str(tmp_path / "s")))
+    assert rows(staged) == rows(df.transform(cleaning.clean(["k"], drop_cols=True))) == [(1, 1), (2, 3)]

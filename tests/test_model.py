@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from landfall import __main__ as command
 from landfall import schemas
 from landfall.plans import jobs, model, quality, questions, star
 from landfall.sources.paths import join_path
@@ -181,3 +182,15 @@ def test_calendar_refresh(spark, tmp_path, few):
     assert jobs.refresh_calendar(arrivals(spark, dict(arrdate=DAY + 4), dict(arrdate=None)), cfg) == 1
     dates = {r.arrdate for r in jobs.read_table(spark, cfg, "dim_calendar").collect()}
     assert dates == {dt.date(2016, 4, 5), dt.date(1960, 1, 1), None}
+
+
+def test_command_line(spark, tmp_path, few):
+    cfg = lake(spark, tmp_path, few)
+    args = ["--output", cfg.output, "--staging", cfg.staging, "--inputs", cfg.inputs]
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert command.main(args) == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.unset("spark.sql.adaptive.forceOptimizeSkewedJoin")
+    assert jobs.read_table(spark, cfg, "fact_i94_immigration").count() == 5
