@@ -1,6 +1,7 @@
 """Counts, sums, averages, top-k and stable samples."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landfall.functions.names import quoted
 
@@ -21,6 +22,12 @@ def global_avg(df, measure, name=None):
     return df.agg(F.avg(measure).alias(name or f"avg_{measure}"))
 
 
+def numeric_avgs(df):
+    """The mean of every numeric column, named ``avg_<column>``; NULLs are skipped."""
+    numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    return df.agg(*[F.avg(quoted(c)).alias(f"avg_{c}") for c in numbers])
+
+
 def top_k(df, measure, key, k=10):
     """Largest ``k`` by ``measure``; equal values are ordered by ``key``, NULL key last."""
     return df.orderBy(F.desc(measure), F.asc_nulls_last(key)).limit(k)

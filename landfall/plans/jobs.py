@@ -1,7 +1,9 @@
 """The batch jobs: read, clean, build, write, then check what was written."""
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from landfall import schemas
@@ -65,16 +67,23 @@ def clean_arrivals(raw, rule):
     return rule(raw)
 
 
+def _side_by_side(spark, *steps):
+    """Run independent Spark actions at once, so that short ones fill idle executors."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [r.result() for r in [pool.submit(inheritable_thread_target(spark)(s)) for s in steps]]
+
+
 def run_arrivals(spark, cfg):
     raw = readers.read_arrivals(spark, join_path(cfg.inputs, cfg.arrivals))
     cleaned = writers.stage_parquet(
         clean_arrivals(raw, cfg.arrivals_rule), join_path(cfg.staging, "arrivals_clean")
     )
-    return [
-        _write_and_check(model.dim_calendar(cleaned), cfg, "dim_calendar", CALENDAR_PARTITIONS),
-        _write_and_check(model.dim_immigrant(cleaned), cfg, "dim_immigrant"),
-        _write_and_check(model.fact_arrivals(cleaned), cfg, "fact_i94_immigration"),
-    ]
+    return _side_by_side(
+        spark,
+        lambda: _write_and_check(model.dim_calendar(cleaned), cfg, "dim_calendar", CALENDAR_PARTITIONS),
+        lambda: _write_and_check(model.dim_immigrant(cleaned), cfg, "dim_immigrant"),
+        lambda: _write_and_check(model.fact_arrivals(cleaned), cfg, "fact_i94_immigration"),
+    )
 
 
 def run_demographics(spark, cfg):
@@ -90,7 +99,14 @@ def run_temperatures(spark, cfg):
 
 
 def run_all(spark, cfg):
-    return run_arrivals(spark, cfg) + run_demographics(spark, cfg) + run_temperatures(spark, cfg)
+    """The three jobs share no table, so they run side by side."""
+    done = _side_by_side(
+        spark,
+        lambda: run_arrivals(spark, cfg),
+        lambda: run_demographics(spark, cfg),
+        lambda: run_temperatures(spark, cfg),
+    )
+    return [check for checks in done for check in checks]
 
 
 def refresh_calendar(arrivals, cfg):

@@ -275,6 +275,14 @@ def global_avg(spark, sf_dir):
     return aggregates.global_avg(load(spark, sf_dir, "lineitem"), "l_quantity")
 
 
+@query("numeric_averages", """
+    SELECT avg(l_partkey) AS avg_l_partkey, avg(l_linenumber) AS avg_l_linenumber,
+      avg(l_quantity) AS avg_l_quantity FROM lineitem""")
+def numeric_averages(spark, sf_dir):
+    lines = load(spark, sf_dir, "lineitem")
+    return aggregates.numeric_avgs(lines.select("l_partkey", "l_returnflag", "l_linenumber", "l_quantity"))
+
+
 @query("top_k_groups", """
     SELECT l_partkey, count(*) AS count FROM lineitem GROUP BY l_partkey
     ORDER BY count DESC, l_partkey LIMIT 10""")
