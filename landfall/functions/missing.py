@@ -26,5 +26,10 @@ def missing_count(df, name):
 
 
 def ratio(part, whole, digits=3):
-    """Rounded share, half to even; NULL for an empty whole."""
-    return F.bround(F.try_divide(part, whole), digits)
+    """Rounded share; NULL for an empty whole.
+
+    Scaled, rounded half to even, and scaled back, as NumPy and pandas round; this
+    differs from ``bround`` where the scaled share falls just beside a half.
+    """
+    scale = F.lit(float(10**digits))
+    return F.rint(F.try_divide(part, whole) * scale) / scale

@@ -106,8 +106,8 @@ ARRIVALS = View(
         "visatype": "'B' || CAST(l_linenumber AS STRING)",
     },
     (
-        ("l_orderkey % 5 = 0", {}),
-        ("l_orderkey % 7 = 0", {"airline": "'0X'"}),
+        ("l_returnflag = 'R'", {}),
+        ("l_linestatus = 'O'", {"airline": "'0X'"}),
     ),
 )
 
@@ -127,7 +127,7 @@ TEMPERATURES = View(
         "Latitude": "CAST(user_id % 90 AS STRING) || 'N'",
         "Longitude": "CAST(user_id % 180 AS STRING) || 'W'",
     },
-    (("event_id % 9 = 1", {}),),
+    (("event_type = 'click'", {}),),
 )
 
 DEMOGRAPHICS = View(
@@ -148,7 +148,7 @@ DEMOGRAPHICS = View(
         "Race": "p_brand",
         "Count": "p_partkey",
     },
-    (("p_partkey % 4 = 0", {}),),
+    (("p_type = 'SMALL'", {}),),
 )
 
 DIRTY_EVENTS = View(
@@ -158,10 +158,10 @@ DIRTY_EVENTS = View(
         "id": "CASE WHEN event_id % 100 = 0 THEN NULL ELSE event_id END",
         "value": "CASE WHEN event_id % 4 = 0 THEN NULL WHEN event_id % 4 = 1 THEN {NAN} ELSE value END",
         "kind": "CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_type END",
-        "seventy": "CASE WHEN event_id % 10 < 3 THEN 'y' END",
+        "sixty": "CASE WHEN event_id % 10 < 4 THEN 'y' END",
         "sparse": "CASE WHEN event_id % 5 = 0 THEN 'x' END",
     },
-    (("event_id % 6 = 0", {}), ("event_id % 25 = 2", {"kind": "'again'"})),
+    (("event_type = 'view'", {}), ("event_type = 'error'", {"kind": "'again'"})),
 )
 
 CODED_DAYS = View(

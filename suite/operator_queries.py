@@ -143,7 +143,8 @@ def _gone(column):
 def _profile_sql(source):
     return " UNION ALL ".join(
         f"""SELECT '{c}' AS column_name, count(*) FILTER (WHERE {_gone(c)}) AS null_count,
-            round_even(count(*) FILTER (WHERE {_gone(c)}) / count(*), 3) AS ratio_to_total
+            round_even(count(*) FILTER (WHERE {_gone(c)}) / count(*) * 1000.0::DOUBLE, 0) / 1000.0::DOUBLE
+              AS ratio_to_total
             FROM {source}"""
         for c in EVENT_COLUMNS
     )
@@ -167,7 +168,7 @@ def high_null_profile(spark, sf_dir):
     return cleaning.high_null_profile(DIRTY_EVENTS.frame(spark, sf_dir), 0.7)
 
 
-@query("high_null_columns", f"{EVENTS_CTE} SELECT id, value, kind, seventy FROM dirty")
+@query("high_null_columns", f"{EVENTS_CTE} SELECT id, value, kind, sixty FROM dirty")
 def high_null_columns(spark, sf_dir):
     return cleaning.drop_high_null_columns(DIRTY_EVENTS.frame(spark, sf_dir), 0.7)
 
@@ -216,9 +217,9 @@ def distinct_dates(spark, sf_dir):
 
 
 CLEANED_EVENTS = f"""{EVENTS_CTE}, kept AS (
-      SELECT id, value, kind, seventy FROM (
+      SELECT id, value, kind, sixty FROM (
         SELECT *, row_number() OVER (PARTITION BY id, kind
-          ORDER BY value NULLS LAST, seventy NULLS LAST, sparse NULLS LAST) AS pick
+          ORDER BY value NULLS LAST, sixty NULLS LAST, sparse NULLS LAST) AS pick
         FROM dirty WHERE id IS NOT NULL OR kind IS NOT NULL) WHERE pick = 1)"""
 
 
@@ -231,7 +232,7 @@ def clean_dataset(spark, sf_dir):
 
 @query("clean_dataset_full_row", f"""{EVENTS_CTE}
     SELECT DISTINCT * FROM dirty WHERE id IS NOT NULL OR (value IS NOT NULL AND NOT isnan(value))
-      OR kind IS NOT NULL OR seventy IS NOT NULL OR sparse IS NOT NULL""")
+      OR kind IS NOT NULL OR sixty IS NOT NULL OR sparse IS NOT NULL""")
 def clean_dataset_full_row(spark, sf_dir):
     return DIRTY_EVENTS.frame(spark, sf_dir).transform(cleaning.clean())
 

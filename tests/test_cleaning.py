@@ -1,7 +1,9 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
+from landfall.functions.missing import ratio
 from landfall.operators import cleaning
 from landfall.operators.aggregates import duplicate_count
 
@@ -47,6 +49,12 @@ def test_threshold_uses_the_rounded_ratio(spark):
     assert cleaning.drop_high_null_columns(df, 0.5).columns == []
 
 
+def test_ratios_round_as_pandas_does(spark):
+    """Every share of 2,000 rows, among them all exact halves of the third digit."""
+    shares = spark.range(2001).select("id", ratio(F.col("id"), F.lit(2000)).alias("r")).toPandas()
+    assert (shares.r == (shares.id / 2000).round(3)).all()
+
+
 def test_column_names_with_blanks_and_hyphens(spark):
     df = spark.createDataFrame([(None, None, 1), (None, 2, 1)], "`Foreign-born` int, `Median Age` int, `a.b` int")
     assert cleaning.drop_high_null_columns(df, 0.5).columns == ["Median Age", "a.b"]
