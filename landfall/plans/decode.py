@@ -6,6 +6,7 @@ The rules follow the wording of the dictionary; the lookups are joins.
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from landfall.functions.missing import is_missing
 from landfall.functions.names import quoted
 from landfall.operators.joins import lookup_join
 
@@ -71,9 +72,7 @@ def visa_category(df, column="i94visa", name="visa_category"):
 
 def travel_mode(df, labels, column="i94mode", name="travel_mode"):
     """The mode's label; a missing mode is ``Missing``, apart from ``Not reported``."""
-    missing = F.col(quoted(column)).isNull() | (code_text(df, column) == "")
-    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
-        missing = F.col(quoted(column)).isNull() | F.isnan(F.col(quoted(column)))
+    missing = is_missing(df, column) | (code_text(df, column) == "")
     return decode(df, labels, MODE, column, name).withColumn(
         name, F.when(missing, "Missing").otherwise(F.col(name))
     )

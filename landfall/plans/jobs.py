@@ -110,7 +110,10 @@ def run_all(spark, cfg):
 
 
 def refresh_calendar(arrivals, cfg):
-    """Replace the calendar months that occur in newly arrived rows; others stay."""
+    """Replace the calendar months that occur in ``arrivals``; the other months stay.
+
+    ``arrivals`` must hold all rows of the months it touches.
+    """
     calendar = model.dim_calendar(arrivals.filter(F.col("arrdate").isNotNull()), keep_unknown=False)
     return writers.refresh_partitions(
         calendar, join_path(cfg.output, "dim_calendar"), CALENDAR_PARTITIONS

@@ -10,7 +10,7 @@ from landfall.operators.columns import rename_columns
 from landfall.plans import quality
 from landfall.session import scratch_dir
 from landfall.sources import readers, writers
-from suite.inputs import ARRIVALS, CODED_DAYS, DIRTY_EVENTS, TEMPERATURES, load
+from suite.inputs import ARRIVALS, CODED_DAYS, DEMOGRAPHICS, DIRTY_EVENTS, TEMPERATURES, load
 from suite.registry import query
 
 # --- scans and sinks -------------------------------------------------------
@@ -253,6 +253,19 @@ def clean_temperatures_by_key(spark, sf_dir):
     return kept.withColumn("dt", F.col("dt").cast("string"))
 
 
+DEMOGRAPHICS_KEY = ", ".join(f'"{c}"' for c in cleaning.DEMOGRAPHICS_BY_CITY.keys)
+DEMOGRAPHICS_REST = ", ".join(
+    f'"{c}" NULLS LAST' for c in DEMOGRAPHICS.columns if c not in cleaning.DEMOGRAPHICS_BY_CITY.keys
+)
+
+
+@query("clean_demographics_by_key", f"""SELECT * EXCLUDE (pick) FROM (
+      SELECT *, row_number() OVER (PARTITION BY {DEMOGRAPHICS_KEY} ORDER BY {DEMOGRAPHICS_REST}) AS pick
+      FROM ({DEMOGRAPHICS.sql()})) WHERE pick = 1""")
+def clean_demographics_by_key(spark, sf_dir):
+    return cleaning.DEMOGRAPHICS_BY_CITY(DEMOGRAPHICS.frame(spark, sf_dir))
+
+
 # --- aggregates ------------------------------------------------------------
 
 @query("row_count", "SELECT count(*) AS rows FROM lineitem")

@@ -1,6 +1,8 @@
 import math
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from landfall.functions.missing import ratio
@@ -124,3 +126,38 @@ def test_staged_clean_gives_the_same_rows(spark, rows, tmp_path):
     df = spark.createDataFrame([(1, None, 1), (1, None, 2), (2, None, 3)], "k int, s string, v int")
     staged = df.transform(cleaning.clean(["k"], drop_cols=True, staging=str(tmp_path / "s")))
     assert rows(staged) == rows(df.transform(cleaning.clean(["k"], drop_cols=True))) == [(1, 1), (2, 3)]
+
+
+COLUMNS = ["k", "x", "s"]
+ROWS = st.lists(st.tuples(
+    st.none() | st.integers(0, 3), st.none() | st.just(NAN) | st.integers(0, 2).map(float), st.none() | st.sampled_from("ab"),
+), min_size=1, max_size=30)
+
+
+def plain_clean(data, subset, thresh):
+    """The same cleaning over a Python list: the kept columns and rows."""
+    gone = lambda v: v is None or v != v
+    # NULL sorts last and NaN above every number.
+    order = lambda v: (2, 0) if v is None else (1, 0) if v != v else (0, v)
+    at = [COLUMNS.index(c) for c in subset or COLUMNS]
+    kept = {}
+    for row in data:
+        if not all(gone(row[i]) for i in at):
+            key = tuple(order(row[i]) for i in at)
+            kept[key] = min(kept.get(key, row), row, key=lambda r: [order(v) for v in r])
+    missing = [sum(gone(r[i]) for r in kept.values()) for i in range(3)]
+    columns = [i for i in range(3) if not kept or not round(missing[i] / len(kept) * 1000) / 1000 > thresh]
+    return [COLUMNS[i] for i in columns], [
+        tuple("nan" if r[i] is not None and r[i] != r[i] else r[i] for i in columns) for r in kept.values()
+    ]
+
+
+@settings(max_examples=12, deadline=None)
+@given(ROWS, st.sampled_from([None, ["k"], ["k", "s"], ["x"]]), st.sampled_from([0.25, 0.5, 0.7]))
+def test_clean_against_plain_python(spark, data, subset, thresh):
+    df = spark.createDataFrame(data, "k int, x double, s string")
+    cleaned = df.transform(cleaning.clean(subset, drop_cols=True, thresh=thresh))
+    columns, expected = plain_clean(data, subset, thresh)
+    assert cleaned.columns == columns
+    found = [tuple("nan" if v is not None and v != v else v for v in r) for r in cleaned.collect()]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
