@@ -9,6 +9,7 @@ from landfall.operators import cleaning
 from landfall.operators.aggregates import duplicate_count, head_sample
 from landfall.operators.joins import lookup_join, payload_bytes
 from landfall.plans import jobs, model, questions, star
+from landfall.sources.writers import write_partitioned
 from suite.inputs import ARRIVALS
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -165,6 +166,26 @@ def test_hot_key_join_beyond_the_broadcast_limit_splits_the_key(spark, hot, plan
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
+    """Year 1 holds most rows: several files there, and one in a small year.
+
+    A small year that hashes to the hot year's shuffle partition is split along with it.
+    """
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "200KB")
+    try:
+        df = spark.range(0, 400000, 1, 8).selectExpr(
+            "xxhash64(id) AS v", "CAST(IF(id % 100 < 5, 2 + id % 100, 1) AS INT) AS year"
+        )
+        assert write_partitioned(df, str(tmp_path / "t"), ["year"]) == 400000
+        files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "t").glob("year=*")}
+        assert files.pop("year=1") > 4
+        assert len(files) == 5 and sorted(files.values())[:4] == [1, 1, 1, 1]
+    finally:
+        spark.conf.set(key, before)
+
+
 @pytest.mark.parametrize("partitions", ["1", "4", "16"])
 def test_tables_do_not_depend_on_shuffle_partitions(spark, stored, rows, partitions):
     before = spark.conf.get("spark.sql.shuffle.partitions")
