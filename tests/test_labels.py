@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from landfall import schemas
 from landfall.plans import decode
 from landfall.sources.labels import read_labels
 
@@ -56,6 +57,7 @@ def labels(spark, tmp_path_factory):
 
 
 def test_every_entry_is_parsed(labels):
+    assert [(f.name, f.dataType) for f in labels.schema] == [(f.name, f.dataType) for f in schemas.CODE_LABELS]
     counts = {r.fmt: r["count"] for r in labels.groupBy("fmt").count().collect()}
     assert counts == {"i94cntyl": 5, "i94prtl": 12, "i94model": 2, "i94addrl": 6}
     found = {(r.fmt, r.raw_code): (r.code, r.label) for r in labels.collect()}
