@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from landfall.llm import decontam, langid, mixing, neardup, pii
+from landfall.llm import chat, decontam, langid, mixing, neardup, pii, topk, toxicity, warc
 
 QUERIES = {}
 CHECKS = {}
@@ -19,6 +19,84 @@ def load(spark, sf_dir, table):
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@query
+def op1_topk_search(spark, sf_dir):
+    return topk.top_k(spark, load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+CHECKS["op1_topk_search"] = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, p.vec_id, CAST(list_inner_product(q.v, p.v) AS BIGINT) AS score
+  FROM v q JOIN v p ON len(q.v) = len(p.v) AND q.vec_id <> p.vec_id WHERE q.vec_id % 20 = 0)
+SELECT * FROM (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score FROM s)
+WHERE rank <= 20
+"""
+
+
+@query
+def op2_warc(spark, sf_dir):
+    return warc.round_trip(spark, load(spark, sf_dir, "pages"))
+
+
+CHECKS["op2_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+x AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS s,
+             max(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  translate(
+    lpad(to_base(CAST('0x' || substr(s, 1, 10) AS BIGINT), 32), 8, '0')
+    || lpad(to_base(CAST('0x' || substr(s, 11, 10) AS BIGINT), 32), 8, '0')
+    || lpad(to_base(CAST('0x' || substr(s, 21, 10) AS BIGINT), 32), 8, '0')
+    || lpad(to_base(CAST('0x' || substr(s, 31, 10) AS BIGINT), 32), 8, '0'),
+    '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM x
+"""
+
+
+@query
+def op3_chat_format(spark, sf_dir):
+    talk = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], talk.schema)
+    return chat.read_back(chat.format_conversations(talk.union(extra)))
+
+
+def _escaped(text):
+    sql = f"replace({text}, '\\', '\\\\')"
+    for c in chat.CONTROLS:
+        sql = f"replace({sql}, '{c}', '{c[0]}\\{c[1:]}')"
+    return sql
+
+
+CHECKS["op3_chat_format"] = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS t,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS l,
+    sum(24 + length({_escaped('role')}) + length({_escaped('text')})) AS f
+  FROM c GROUP BY conv_id)
+SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(t) AS turns_sha256,
+       CAST(length(l) AS BIGINT) AS loss_chars, sha256(l) AS loss_sha256, CAST(f AS BIGINT) AS formatted_chars
+FROM g
+"""
+
+
+@query
+def op4_toxicity(spark, sf_dir):
+    return toxicity.score(spark, load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 @query
 def op5_pii(spark, sf_dir):
     return pii.detect(spark, load(spark, sf_dir, "documents"))
