@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from landfall.llm import chat, decontam, langid, mixing, neardup, pii, topk, toxicity, warc
+from landfall.llm import chat, decontam, html, langid, mixing, neardup, pii, topk, toxicity, warc
 
 QUERIES = {}
 CHECKS = {}
@@ -138,6 +138,11 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
 
 
+@query
+def op7_html_text(spark, sf_dir):
+    return html.extract(spark, load(spark, sf_dir, "pages"))
+
+
 @query
 def op8_minhash_neardup(spark, sf_dir):
     return neardup.link_documents(spark, load(spark, sf_dir, "documents"))
