@@ -9,8 +9,9 @@ false ones, and full sets decide.
 Hot lists. A value's list is entered only by documents for which the value is among their
 rarest: sketches that share at least ``LEAST`` values meet in one of their ``K - LEAST + 1``
 rarest (prefix filter), so lines common to many documents open no list. Copies with equal sets
-are one node from the start. In a list, all compare with the list's first node; after that only
-nodes not yet joined to the same node are compared with each other.
+are one node from the start. In a list, all compare with its most typical node, the one with the
+most common values; after that only nodes not yet joined to the same node are compared with each
+other, and of these only pairs that can reach the threshold by the shingles they share with anyone.
 """
 
 import numpy as np
@@ -25,6 +26,7 @@ K = 48
 #: Two sets of similarity 0.75 share fewer of a union's 48 smallest values with a chance of about 1e-9.
 LEAST = 17
 PERCENT = 75
+FEW = 10
 CACHE_WORDS = 500_000
 PIECE = 1 << 22
 _FACTORS = [np.uint64(x) for x in (
@@ -120,24 +122,71 @@ def _prefix_length():
 
 
 def _inverted_lists(spark, nodes):
-    """(v, node, n): the lists of retained values that hold at least two nodes."""
+    """(v, node, n, typical): the lists of retained values that hold at least two nodes."""
     values = nodes.select("node", "n", F.explode("sketch").alias("v"))
     common = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
     common = stored(spark, common, "common")
     ranked = (
         values.join(common, "v").groupBy("node", "n")
         .agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("shared"))
+        .withColumn("typical", F.aggregate("shared", F.lit(0).cast("long"), lambda t, x: t + x["df"]))
         .withColumn("room", _prefix_length() - (F.least("n", F.lit(K)) - F.size("shared")))
         .where("room > 0")
-        .select("node", "n", F.explode(F.expr("slice(shared, 1, cast(room as int))")).alias("s"))
+        .select("node", "n", "typical", F.explode(F.expr("slice(shared, 1, cast(room as int))")).alias("s"))
     )
-    return stored(spark, ranked.select(F.col("s.v").alias("v"), "node", "n"), "lists")
+    return stored(spark, ranked.select(F.col("s.v").alias("v"), "node", "n", "typical"), "lists")
 
 
 def _near_sizes(a, b):
     return (100 * F.least(a, b)) >= (PERCENT * F.greatest(a, b))
 
 
+def _sets_of(spark, docs, needed, name):
+    """(node, items): the full shingle sets of the nodes ``needed``."""
+    needed = stored(spark, needed, f"{name}-needed")
+    texts = docs.select(F.col("doc_id").alias("node"), "text").join(
+        sized(needed, 16), F.col("node") == F.col("needed"), "left_semi")
+    return stored(spark, texts.mapInArrow(_full_sets, "node long, items array<long>"), name)
+
+
+def _rest_pairs(spark, docs, open_):
+    """Pairs of nodes of ``open_`` (v, node, n, at) in different places ``at`` that may be similar.
+
+    A shingle that at most ``FEW`` of the nodes have is rare among them. Pairs that share a rare
+    one come from the rare shingles' lists, which are short. All other pairs share common shingles
+    only, so the smaller count of these bounds their similarity, whatever their sketches say; copies
+    edited in many places, and texts that share only a passage, are ruled out by it alone.
+    """
+    nodes = stored(spark, open_.select("node", "n", "at").distinct(), "open-nodes")
+    items = _sets_of(spark, docs, nodes.select(F.col("node").alias("needed")), "open-sets")
+    items = items.select("node", F.explode("items").alias("item"))
+    counts = items.groupBy("item").agg(F.min("node").alias("node"), F.count("*").alias("c"))
+    counts = stored(spark, counts.where(F.col("c") <= FEW), "rare")
+    rare = stored(spark, items.join(counts.where("c > 1").select("item"), "item"), "rare-lists")
+    alone = counts.where("c = 1").groupBy("node").agg(F.count("*").alias("u"))
+    few = rare.groupBy("node").agg(F.count("*").alias("f"))
+    nodes = stored(spark, nodes.join(alone, "node", "left").join(few, "node", "left").select(
+        "node", "n", "at", (F.col("n") - F.coalesce("u", F.lit(0))).alias("any"),
+        (F.col("n") - F.coalesce("u", F.lit(0)) - F.coalesce("f", F.lit(0))).alias("common")), "bounds")
+
+    def meeting(lists, key, bound):
+        """Pairs that meet in a list, from the first list they share, so that each comes once."""
+        able = nodes.where(100 * F.col(bound) >= PERCENT * F.col("n")).select(
+            "node", "n", "at", F.col(bound).alias("x"))
+        rows = lists.select("node", F.col(key).alias("k")).join(able, "node")
+        owned = stored(spark, rows.groupBy("node", "n", "at", "x").agg(
+            F.sort_array(F.collect_set("k")).alias("all")), f"owned-{key}")
+        rows = stored(spark, owned.select(F.explode("all").alias("k"), *owned.columns), f"meeting-{key}")
+        most = F.least("x_a", "x_b")
+        return rows.toDF("k", "a", "n_a", "at_a", "x_a", "all_a").join(
+            rows.toDF("k", "b", "n_b", "at_b", "x_b", "all_b"), "k").where(
+            (F.col("a") < F.col("b")) & (F.col("at_a") != F.col("at_b"))
+            & (100 * most >= PERCENT * (F.col("n_a") + F.col("n_b") - most))
+            & (F.array_intersect("all_a", "all_b")[0] == F.col("k"))).select("a", "b")
+
+    return meeting(open_.select("v", "node"), "v", "common").union(meeting(rare, "item", "any")).distinct()
+
+
 def _confirmed(spark, docs, nodes, pairs):
     """Those (a, b) of ``pairs`` whose full shingle sets reach the threshold."""
     def sketch(name):
@@ -152,10 +201,7 @@ def _confirmed(spark, docs, nodes, pairs):
         F.when(F.size("u") < K, 100 * F.col("both") >= PERCENT * F.size("u"))
         .otherwise(F.col("both") >= LEAST)
     ).select("a", "b", "n_a", "n_b"), "estimated")
-    needed = stored(spark, drawn.select(F.explode(F.array("a", "b")).alias("needed")).distinct(), "needed")
-    texts = docs.select(F.col("doc_id").alias("node"), "text").join(
-        sized(needed, 16), F.col("node") == F.col("needed"), "left_semi")
-    sets = stored(spark, texts.mapInArrow(_full_sets, "node long, items array<long>"), "sets")
+    sets = _sets_of(spark, docs, drawn.select(F.explode(F.array("a", "b")).alias("needed")).distinct(), "sets")
     both = (
         drawn.join(sets.toDF("a", "i_a"), "a").join(sets.toDF("b", "i_b"), "b")
         .withColumn("both", F.size(F.array_intersect("i_a", "i_b")))
@@ -211,27 +257,20 @@ def link_documents(spark, docs):
 
     lists = _inverted_lists(spark, nodes)
     first = stored(spark, lists.groupBy("v").agg(
-        F.min(F.struct("node", "n")).alias("f")).select("v", "f.*").toDF("v", "a", "n_a"), "first")
+        F.max(F.struct("typical", -F.col("node"), "n")).alias("f")).select(
+        "v", (-F.col("f.col2")).alias("a"), F.col("f.n").alias("n_a")), "first")
     tried = stored(spark, lists.join(first, "v").where(
         (F.col("a") != F.col("node")) & _near_sizes(F.col("n"), F.col("n_a"))
-    ).select("a", F.col("node").alias("b")).distinct(), "tried")
+    ).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), "tried")
     links = _confirmed(spark, docs, nodes, tried)
 
-    joined = stored(spark, links.groupBy("b").agg(F.min("a").alias("at")), "joined")
-    step = joined.select(F.col("b").alias("at"), F.col("at").alias("beyond"))
-    joined = stored(spark, joined.join(step, "at", "left").select(
-        F.col("b").alias("node"), F.coalesce("beyond", "at").alias("at")), "joined-twice")
+    joined = components(spark, links).withColumnRenamed("root", "at")
     placed = lists.join(joined, "node", "left").withColumn("at", F.coalesce("at", "node"))
-    placed = stored(spark, placed, "placed")
+    placed = stored(spark, placed.select("v", "node", "n", "at"), "placed")
     mixed = stored(spark, placed.groupBy("v").agg(
         F.min("at").alias("lo"), F.max("at").alias("hi")).where("lo < hi").select("v"), "mixed")
     open_ = stored(spark, placed.join(mixed, "v"), "open")
-    left = open_.toDF("v", "a", "n_a", "at_a")
-    right = open_.toDF("v", "b", "n_b", "at_b")
-    rest = left.join(right, "v").where(
-        (F.col("a") < F.col("b")) & (F.col("at_a") != F.col("at_b"))
-        & _near_sizes(F.col("n_a"), F.col("n_b"))
-    ).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+    rest = _rest_pairs(spark, docs, open_).join(tried, ["a", "b"], "left_anti")
     links = links.union(_confirmed(spark, docs, nodes, stored(spark, rest, "rest")))
 
     roots = components(spark, links)
