@@ -169,22 +169,28 @@ def _rest_pairs(spark, docs, open_):
         "node", "n", "at", (F.col("n") - F.coalesce("u", F.lit(0))).alias("any"),
         (F.col("n") - F.coalesce("u", F.lit(0)) - F.coalesce("f", F.lit(0))).alias("common")), "bounds")
 
-    def meeting(lists, key, bound):
-        """Pairs that meet in a list, from the first list they share, so that each comes once."""
-        able = nodes.where(100 * F.col(bound) >= PERCENT * F.col("n")).select(
-            "node", "n", "at", F.col(bound).alias("x"))
-        rows = lists.select("node", F.col(key).alias("k")).join(able, "node")
-        owned = stored(spark, rows.groupBy("node", "n", "at", "x").agg(
-            F.sort_array(F.collect_set("k")).alias("all")), f"owned-{key}")
-        rows = stored(spark, owned.select(F.explode("all").alias("k"), *owned.columns), f"meeting-{key}")
-        most = F.least("x_a", "x_b")
-        return rows.toDF("k", "a", "n_a", "at_a", "x_a", "all_a").join(
-            rows.toDF("k", "b", "n_b", "at_b", "x_b", "all_b"), "k").where(
-            (F.col("a") < F.col("b")) & (F.col("at_a") != F.col("at_b"))
-            & (100 * most >= PERCENT * (F.col("n_a") + F.col("n_b") - most))
-            & (F.array_intersect("all_a", "all_b")[0] == F.col("k"))).select("a", "b")
-
-    return meeting(open_.select("v", "node"), "v", "common").union(meeting(rare, "item", "any")).distinct()
+    def able(lists, bound):
+        return lists.join(nodes.select("node", "n", "at", F.col(bound).alias("x")), "node").where(
+            100 * F.col("x") >= PERCENT * F.col("n"))
+
+    def meeting(rows, key):
+        one = [F.col(c).alias(f"{c}_1") for c in rows.columns if c != key]
+        two = [F.col(c).alias(f"{c}_2") for c in rows.columns if c != key]
+        most = F.least("x_1", "x_2")
+        return rows.select(key, *one).join(rows.select(key, *two), key).where(
+            (F.col("node_1") < F.col("node_2")) & (F.col("at_1") != F.col("at_2"))
+            & (100 * most >= PERCENT * (F.col("n_1") + F.col("n_2") - most)))
+
+    # Common shingles: hot lists, so a pair is taken only from the first list that both are in.
+    owned = able(open_.select("v", "node"), "common").groupBy("node", "n", "at", "x").agg(
+        F.sort_array(F.collect_set("v")).alias("all"))
+    owned = stored(spark, owned, "owned")
+    hot = stored(spark, owned.select(F.explode("all").alias("v"), *owned.columns), "meeting")
+    hot = meeting(hot, "v").where(F.array_intersect("all_1", "all_2")[0] == F.col("v"))
+    # Rare shingles: lists of at most FEW nodes.
+    short = meeting(stored(spark, able(rare, "any"), "meeting-rare"), "item")
+    pairs = hot.select("node_1", "node_2").union(short.select("node_1", "node_2"))
+    return pairs.distinct().toDF("a", "b")
 
 
 def _confirmed(spark, docs, nodes, pairs):
