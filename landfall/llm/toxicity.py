@@ -116,7 +116,7 @@ class FactorizationMachine:
                 rows = order[at:at + size]
                 z, flat, owner, sums = self.raw([arrays[i] for i in rows])
                 error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[rows]) * importance[rows] / 8
-                weights = np.bincount(flat, error[owner], len(self.weights))
+                weights = np.bincount(flat, error[owner], len(self.weights)).astype(float)
                 factors = np.zeros(self.factors.shape)
                 np.add.at(factors, flat, error[owner, None] * (sums[owner] - self.factors[flat]))
                 seen = np.bincount(flat, minlength=len(self.weights)) > 0
