@@ -4,7 +4,8 @@ import argparse
 import sys
 
 from landfall.plans.jobs import LakeConfig, report_frame, run_all
-from landfall.session import build_session, scale_conf
+from landfall.session import build_session, input_bytes, scale_conf
+from landfall.sources.paths import join_path
 
 
 def main(argv=None):
@@ -15,14 +16,19 @@ def main(argv=None):
     parser.add_argument("--arrivals", default=LakeConfig.arrivals)
     parser.add_argument("--temperatures", default=LakeConfig.temperatures)
     parser.add_argument("--demographics", default=LakeConfig.demographics)
-    parser.add_argument("--input-gb", type=float, default=1.0, help="sizes the shuffles")
+    parser.add_argument("--input-gb", type=float, help="sizes the shuffles; measured if not given")
     parser.add_argument("--cores", type=int, default=8)
     args = parser.parse_args(argv)
 
-    spark = build_session("landfall", scale_conf(int(args.input_gb * 1024**3), args.cores))
-    checks = run_all(spark, LakeConfig(
+    cfg = LakeConfig(
         args.output, args.staging, args.inputs, args.arrivals, args.temperatures, args.demographics
-    ))
+    )
+    spark = build_session("landfall")
+    size = int(args.input_gb * 1024**3) if args.input_gb else input_bytes(
+        spark, [join_path(cfg.inputs, p) for p in (cfg.arrivals, cfg.temperatures, cfg.demographics)])
+    for key, value in scale_conf(size, args.cores).items():
+        spark.conf.set(key, value)
+    checks = run_all(spark, cfg)
     report_frame(spark, checks).show(truncate=False)
     return 0 if all(c.status == "passed" for c in checks) else 1
 

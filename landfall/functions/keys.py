@@ -16,14 +16,15 @@ def hash_key(df, names):
     """60-bit key over the named columns.
 
     Each value enters with its length, so neighbouring values cannot run together,
-    and NULL differs from every text. Floating-point values enter as decimals with
-    six places. Check the result with ``quality.unique_key_report`` on large tables.
+    and NULL differs from every text. Floating-point values enter as the shortest text
+    that reads back as the same double, with -0.0 as 0.0; NaN is a value of its own.
+    Check the result with ``quality.unique_key_report`` on large tables.
     """
     parts = []
     for name in names:
         column = F.col(quoted(name))
         if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-            column = column.try_cast("decimal(20,6)")
+            column = column.cast("double") + F.lit(0.0)
         text = column.cast("string")
         parts.append(F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-")))
     digest = F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.functions.names import quoted
+from landfall.functions.names import fresh, quoted
 
 
 def row_count(df):
@@ -40,10 +40,9 @@ def head_sample(df, key, n=5):
 
 def duplicate_count(df):
     """One row: ``rows``, and how many of them repeat an earlier row."""
-    per_row = df.groupBy(*[F.col(quoted(c)) for c in df.columns]).agg(
-        F.count(F.lit(1)).alias("_copies")
-    )
+    copies = fresh("_copies", df)
+    per_row = df.groupBy(*[F.col(quoted(c)) for c in df.columns]).agg(F.count(F.lit(1)).alias(copies))
     return per_row.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates"),
+        F.coalesce(F.sum(copies), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.col(copies) - 1), F.lit(0)).alias("duplicates"),
     )

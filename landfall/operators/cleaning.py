@@ -5,8 +5,9 @@ from dataclasses import dataclass
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from landfall import schemas
 from landfall.functions.missing import is_present, missing_count, ratio
-from landfall.functions.names import quoted
+from landfall.functions.names import fresh, quoted
 from landfall.sources.writers import stage_parquet
 
 
@@ -17,38 +18,38 @@ def drop_empty_rows(df, subset=None):
     return df.na.drop(how="all", subset=subset)
 
 
-def drop_duplicate_rows(df, keys=None):
+def drop_duplicate_rows(df, keys=None, first_by=()):
     """Keep one row per distinct row, or per key.
 
-    Per key the kept row is the first in the order of all other columns, so the
-    result does not depend on partitioning. Spark limits each map task to one row
+    Per key the kept row is the first in the order of the columns ``first_by``, then of all
+    other columns, so the result does not depend on partitioning. Columns of ``first_by``
+    that the frame lacks are passed over. Spark limits each map task to one row
     per key before the shuffle, so a key that holds much of the data stays cheap.
     """
     if keys is None:
         return df.dropDuplicates()
-    others = [c for c in df.columns if c not in keys]
+    leading = [c for c in first_by if c in df.columns and c not in keys]
+    others = leading + [c for c in df.columns if c not in keys and c not in leading]
     if not others:
         return df.dropDuplicates(keys)
     order = [F.col(quoted(c)).asc_nulls_last() for c in others]
     window = Window.partitionBy(*[F.col(quoted(k)) for k in keys]).orderBy(*order)
-    return (
-        df.withColumn("_row_in_key", F.row_number().over(window))
-        .filter(F.col("_row_in_key") == 1)
-        .drop("_row_in_key")
-    )
+    row = fresh("_row_in_key", df)
+    return df.withColumn(row, F.row_number().over(window)).filter(F.col(row) == 1).drop(row)
 
 
 def null_profile(df):
     """(column_name, null_count, ratio_to_total) for every column, in one pass."""
+    rows = fresh("_rows", df)
     counts = df.agg(
-        F.count(F.lit(1)).alias("_rows"),
+        F.count(F.lit(1)).alias(rows),
         *[missing_count(df, c).alias(c) for c in df.columns],
     )
     long = counts.unpivot(
-        "_rows", [F.col(quoted(c)) for c in df.columns], "column_name", "null_count"
+        rows, [F.col(quoted(c)) for c in df.columns], "column_name", "null_count"
     )
     return long.select(
-        "column_name", "null_count", ratio(F.col("null_count"), F.col("_rows")).alias("ratio_to_total")
+        "column_name", "null_count", ratio(F.col("null_count"), F.col(rows)).alias("ratio_to_total")
     )
 
 
@@ -83,21 +84,29 @@ def clean(subset=None, drop_cols=False, thresh=0.7, staging=None):
 
 @dataclass(frozen=True)
 class CleanRule:
-    """Columns to drop, columns of which one must be present, and the row key."""
+    """Columns to drop, columns of which one must be present, and the row key.
+
+    ``first_by`` orders the rows of a key before all other columns do, so that the kept row's
+    values in these columns do not depend on which further columns were read.
+    """
 
     drop_cols: tuple = ()
     required: tuple | None = None
     keys: tuple | None = None
+    first_by: tuple = ()
 
     def __call__(self, df):
         df = df.drop(*self.drop_cols)
         df = drop_empty_rows(df, list(self.required) if self.required else None)
-        return drop_duplicate_rows(df, list(self.keys) if self.keys else None)
+        return drop_duplicate_rows(df, list(self.keys) if self.keys else None, self.first_by)
 
 
 # The documented cleaning keys of each dataset.
 FULL_ROW = CleanRule()
-ARRIVALS_BY_ID = CleanRule(("occup", "entdepu", "insnum"), ("cicid",), ("cicid",))
+ARRIVALS_BY_ID = CleanRule(
+    ("occup", "entdepu", "insnum"), ("cicid",), ("cicid",),
+    tuple(c.name for c in schemas.ARRIVALS if c.name in {*schemas.DIM_IMMIGRANT.names, *schemas.FACT_ARRIVALS.names}),
+)
 TEMPERATURES_BY_CITY_DATE = CleanRule((), ("AverageTemperature",), ("dt", "City", "Country"))
 DEMOGRAPHICS_BY_CITY = CleanRule(
     (),

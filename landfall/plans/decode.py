@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.functions.missing import is_missing
-from landfall.functions.names import quoted
+from landfall.functions.names import fresh, quoted
 from landfall.operators.joins import lookup_join
 
 # Names of the dictionary's formats and its catch-all state code.
@@ -44,12 +44,13 @@ def code_text(df, name):
 def _lookup(labels, fmt, value, name):
     """One row per code of a format, so a repeated entry cannot multiply rows."""
     entries = labels.filter((F.col("fmt") == fmt) & value.isNotNull())
-    return entries.groupBy(F.col("code").alias("_code")).agg(F.min(value).alias(name))
+    return entries.groupBy("code").agg(F.min(value).alias(name))
 
 
 def _with_lookup(df, lookup, column):
-    keyed = df.withColumn("_code", code_text(df, column))
-    return lookup_join(keyed, lookup, "_code").drop("_code")
+    code = fresh("_code", df, lookup)
+    keyed = df.withColumn(code, code_text(df, column))
+    return lookup_join(keyed, lookup.withColumnRenamed("code", code), code).drop(code)
 
 
 def decode(df, labels, fmt, column, name):

@@ -1,5 +1,6 @@
 """The batch jobs: read, clean, build, write, then check what was written."""
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -76,7 +77,7 @@ def _side_by_side(spark, *steps):
 def run_arrivals(spark, cfg):
     raw = readers.read_arrivals(spark, join_path(cfg.inputs, cfg.arrivals))
     cleaned = writers.stage_parquet(
-        clean_arrivals(raw, cfg.arrivals_rule), join_path(cfg.staging, "arrivals_clean")
+        clean_arrivals(raw, cfg.arrivals_rule), join_path(cfg.staging, f"arrivals-{uuid.uuid4().hex}")
     )
     return _side_by_side(
         spark,
@@ -110,14 +111,21 @@ def run_all(spark, cfg):
 
 
 def refresh_calendar(arrivals, cfg):
-    """Replace the calendar months that occur in ``arrivals``; the other months stay.
+    """Add the dates of ``arrivals`` to the calendar; months without new dates are not touched.
 
-    ``arrivals`` must hold all rows of the months it touches.
+    The months that occur in ``arrivals`` are rewritten with their stored dates and the new ones,
+    through a staged copy of this run, since a folder cannot be read while it is replaced.
     """
-    calendar = model.dim_calendar(arrivals.filter(F.col("arrdate").isNotNull()), keep_unknown=False)
-    return writers.refresh_partitions(
-        calendar, join_path(cfg.output, "dim_calendar"), CALENDAR_PARTITIONS
-    )
+    spark = arrivals.sparkSession
+    new = model.dim_calendar(arrivals.filter(F.col("arrdate").isNotNull()), keep_unknown=False)
+    run = join_path(cfg.staging, f"calendar-{uuid.uuid4().hex}")
+    new = writers.stage_parquet(new, join_path(run, "new"))
+    # At most twelve rows for each of 9999 years.
+    months = F.broadcast(new.select(*CALENDAR_PARTITIONS).distinct())
+    stored = read_table(spark, cfg, "dim_calendar").join(months, list(CALENDAR_PARTITIONS), "left_semi")
+    merged = new.unionByName(stored.select(*new.columns)).dropDuplicates(["arrdate"])
+    merged = writers.stage_parquet(merged, join_path(run, "merged"))
+    return writers.refresh_partitions(merged, join_path(cfg.output, "dim_calendar"), CALENDAR_PARTITIONS)
 
 
 def report_frame(spark, checks):

@@ -2,12 +2,19 @@
 
 from pyspark.sql import functions as F
 
+from landfall.functions.missing import is_present
+from landfall.operators.cleaning import drop_duplicate_rows
 from landfall.operators.joins import lookup_join
 
 
 def fact_with_immigrant(fact, immigrant):
-    """Two large tables with the same unique key: a shuffled equi-join."""
-    return fact.join(immigrant, "cicid", "inner")
+    """Every fact row that has a cicid with its person: a shuffled equi-join.
+
+    Rows without cicid (NULL or NaN) match nothing. Of several people under one cicid the first
+    in the order of the other columns counts, so no fact row is multiplied.
+    """
+    people = drop_duplicate_rows(immigrant.filter(is_present(immigrant, "cicid")), ["cicid"])
+    return fact.filter(is_present(fact, "cicid")).join(people, "cicid", "inner")
 
 
 def fact_with_calendar(fact, calendar):

@@ -19,7 +19,8 @@ def scale_conf(input_bytes, cores):
     12 TB of scan the tasks grow instead of their number, because a shuffle moves
     (scan tasks x shuffle partitions) blocks; at 100 TB that is 1 GB a scan task and
     a few billion blocks of about 30 KB. Adaptive execution merges partitions that
-    turn out small and splits hot ones, even where the split costs one more shuffle.
+    turn out small, and splits hot ones of joins and rebalanced writes; aggregates and
+    windows stay unsplit, and are kept narrow by what runs before their shuffle.
     """
     shuffle_partitions = min(-(-input_bytes // (128 * MB)), MAX_SHUFFLE_PARTITIONS)
     split = min(max(128 * MB, input_bytes // MAX_SCAN_TASKS), 1024 * MB)
@@ -34,6 +35,16 @@ def scale_conf(input_bytes, cores):
     }
 
 
+def input_bytes(spark, paths):
+    """Bytes of the files and folders ``paths``, as their file systems add them up."""
+    total = 0
+    for text in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(text)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        total += files.getContentSummary(path).getLength()
+    return total
+
+
 def build_session(app_name, conf=None, master=None):
     builder = SparkSession.builder.appName(app_name)
     if master:

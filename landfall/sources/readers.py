@@ -1,15 +1,22 @@
 """Source scans with an explicit column contract."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landfall import schemas
-from landfall.functions.names import quoted
+from landfall.functions.names import fresh, quoted
 
 
 def read_parquet(spark, path, schema=None):
-    """Parquet folder scan. With a contract, a missing column is an error, not NULLs."""
-    df = spark.read.parquet(path)
-    return df if schema is None else conform(df, schema, path)
+    """Parquet folder scan. With a contract, a column that no file has is an error, not NULLs.
+
+    Files may hold their columns in any order. A column that only some files lack reads as NULL
+    in these: with a contract the schemas of all files are merged, so whether it is found does
+    not depend on which file's footer was read, and columns of unlike types fail.
+    """
+    if schema is None:
+        return spark.read.parquet(path)
+    return conform(spark.read.option("mergeSchema", True).parquet(path), schema, path)
 
 
 def conform(df, schema, source="input"):
@@ -24,16 +31,39 @@ def conform(df, schema, source="input"):
     ])
 
 
-def read_csv(spark, path, schema=None, sep=",", mode="PERMISSIVE"):
+def _csv(spark, sep, mode):
+    return spark.read.option("header", True).option("sep", sep).option("mode", mode)
+
+
+def read_csv(spark, path, schema=None, sep=",", mode="FAILFAST"):
     """CSV scan with a header line.
 
-    With a contract, the header is checked against it while scanning, so a wrong
-    separator or file fails. Without one the types are inferred by an extra pass.
+    With a contract, the header is checked against it while scanning, and a line that breaks it
+    (a value of the wrong type in a column that is read, a field too many or too few) fails the
+    job; ``csv_malformed`` counts such lines in all columns and mode PERMISSIVE reads on with
+    NULLs. Without a contract the types are inferred by an extra pass.
     """
-    reader = spark.read.option("header", True).option("sep", sep).option("mode", mode)
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).option("enforceSchema", False).csv(path)
+        return _csv(spark, sep, "PERMISSIVE").option("inferSchema", True).csv(path)
+    return (
+        _csv(spark, sep, mode).schema(schema).option("enforceSchema", False)
+        .option("columnPruning", False).csv(path)
+    )
+
+
+def csv_malformed(spark, path, schema, sep=","):
+    """One row: ``rows`` of the files, and how many of them break the contract."""
+    bad = fresh("_malformed", spark.createDataFrame([], schema))
+    lines = (
+        _csv(spark, sep, "PERMISSIVE").schema(T.StructType([*schema.fields, T.StructField(bad, T.StringType())]))
+        .option("columnNameOfCorruptRecord", bad).option("columnPruning", False).csv(path)
+    )
+    # Spark parses only the columns that a plan names, so the test names them all.
+    text = F.concat_ws("", *[F.col(quoted(c)).cast("string") for c in schema.names]) != "\0"
+    return lines.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(bad).isNotNull() & text).alias("malformed"),
+    )
 
 
 def read_arrivals(spark, path):

@@ -59,6 +59,20 @@ def csv_semicolon_roundtrip(spark, sf_dir):
     return rename_columns(back, {new: old for old, new in SUPPLIER_NAMES.items()})
 
 
+@query("csv_malformed_counted", """
+    SELECT count(*) AS rows,
+      CAST(count(*) FILTER (s_suppkey % 7 = 0 OR s_suppkey % 11 = 0) AS BIGINT) AS malformed FROM supplier""")
+def csv_malformed_counted(spark, sf_dir):
+    """Every seventh balance with a semicolon, every eleventh key with a letter."""
+    path = scratch_dir(spark, "csv")
+    broken = rename_columns(load(spark, sf_dir, "supplier"), SUPPLIER_NAMES).withColumns({
+        "Account Balance": F.expr("if(`Supplier Key` % 7 = 0, '6;1', string(`Account Balance`))"),
+        "Nation Key": F.expr("if(`Supplier Key` % 11 = 0, 'x', string(`Nation Key`))"),
+    })
+    broken.select(*SUPPLIER.names).write.option("header", True).csv(path)
+    return readers.csv_malformed(spark, path, SUPPLIER)
+
+
 @query("csv_inferred_schema", """
     SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier""")
 def csv_inferred_schema(spark, sf_dir):
@@ -373,7 +387,7 @@ def hash_key_sql(columns, doubles=()):
     """Check SQL of ``hash_key``; ``doubles`` names the floating-point columns."""
     parts = []
     for name in columns:
-        value = f"TRY_CAST({name} AS DECIMAL(20,6))" if name in doubles else name
+        value = f"(CAST({name} AS DOUBLE) + 0.0::DOUBLE)" if name in doubles else name
         parts.append(f"coalesce(length(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')")
     return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 15) AS BIGINT)"
 

@@ -3,10 +3,11 @@ import tempfile
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landfall import schemas
 from landfall.operators.columns import rename_columns
-from landfall.session import scale_conf, scratch_dir
+from landfall.session import input_bytes, scale_conf, scratch_dir
 from landfall.sources import readers, writers
 from landfall.sources.paths import join_path
 
@@ -122,3 +123,19 @@ def test_scale_conf_grows_with_the_input():
     partitions = int(huge["spark.sql.shuffle.partitions"])
     scans = 100 * 10**12 / int(huge["spark.sql.files.maxPartitionBytes"])
     assert 8 * 4000 <= partitions <= 40_000 and scans <= 110_000
+
+
+def test_a_broken_csv_line_fails_and_is_counted(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("a,b\n1,2\n3,x\n5,6,7\n")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+    with pytest.raises(Exception, match="(?i)malformed|failed_read_file"):
+        readers.read_csv(spark, str(folder), schema).select("a").collect()
+    assert tuple(readers.csv_malformed(spark, str(folder), schema).first()) == (3, 2)
+
+
+def test_input_size_is_measured(spark, tmp_path):
+    (tmp_path / "x").write_bytes(b"a" * 1000)
+    (tmp_path / "y").write_bytes(b"b" * 500)
+    assert input_bytes(spark, [str(tmp_path), str(tmp_path / "y")]) == 2000

@@ -179,9 +179,11 @@ def test_repeated_rows_fail_the_check(spark, tmp_path, few):
 def test_calendar_refresh(spark, tmp_path, few):
     cfg = lake(spark, tmp_path, few)
     jobs.run_arrivals(spark, cfg)
-    assert jobs.refresh_calendar(arrivals(spark, dict(arrdate=DAY + 4), dict(arrdate=None)), cfg) == 1
+    before = {r.arrdate for r in jobs.read_table(spark, cfg, "dim_calendar").collect()}
+    # The touched month is written with its stored dates and the new one.
+    assert jobs.refresh_calendar(arrivals(spark, dict(arrdate=DAY + 4), dict(arrdate=None)), cfg) == 2
     dates = {r.arrdate for r in jobs.read_table(spark, cfg, "dim_calendar").collect()}
-    assert dates == {dt.date(2016, 4, 5), dt.date(1960, 1, 1), None}
+    assert dates == before | {dt.date(2016, 4, 5)}
 
 
 def test_command_line(spark, tmp_path, few):
@@ -194,3 +196,30 @@ def test_command_line(spark, tmp_path, few):
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
         spark.conf.unset("spark.sql.adaptive.forceOptimizeSkewedJoin")
     assert jobs.read_table(spark, cfg, "fact_i94_immigration").count() == 5
+
+
+def test_missing_and_repeated_ids_multiply_no_fact_row(spark):
+    from landfall.plans import star
+
+    nan = float("nan")
+    fact = spark.createDataFrame([(1.0, "a"), (1.0, "b"), (nan, "c"), (nan, "d"), (None, "e")], "cicid double, x string")
+    people = spark.createDataFrame([(1.0, "p"), (1.0, "q"), (nan, "r"), (None, "s"), (2.0, "t")], "cicid double, y string")
+    got = sorted(tuple(r) for r in star.fact_with_immigrant(fact, people).collect())
+    assert got == [(1.0, "a", "p"), (1.0, "b", "p")]
+
+
+def test_the_job_and_the_rule_keep_the_same_arrivals(spark):
+    from landfall import schemas
+    from landfall.operators import cleaning
+    from landfall.plans import jobs, model
+
+    kinds = {f.name: f.dataType.simpleString() for f in schemas.ARRIVALS}
+    names = [n for n in kinds if n not in cleaning.ARRIVALS_BY_ID.drop_cols]
+    raw = spark.range(400).selectExpr(*[
+        "CAST(id % 40 AS {}) AS {}".format(kinds[n], f"`{n}`") if n == "cicid"
+        else f"CAST(pmod(hash(id, '{n}'), 2) AS {kinds[n]}) AS `{n}`" for n in names
+    ])
+    columns = [c for c in names if c in model.arrivals_model_columns()]
+    one = cleaning.ARRIVALS_BY_ID(raw).select(columns).collect()
+    two = jobs.clean_arrivals(raw, cleaning.ARRIVALS_BY_ID).select(columns).collect()
+    assert sorted(one) == sorted(two) and len(one) == 40
