@@ -97,7 +97,8 @@ def write_archives(spark, pages, path, segment_bytes=SEGMENT_BYTES):
         _line("Content-Length", F.octet_length("piece").cast("string")),
         F.lit(END), "piece")
     rows.select(text.alias("value")).write.option("lineSep", END * 2).option(
-        "compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+        "compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option(
+        "maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
 def _bytes_of(content):
