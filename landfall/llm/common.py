@@ -34,6 +34,13 @@ def remainder(column, n):
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
 
 
+def slices(batches, rows=256):
+    """Arrow batches cut small, so that a task's Python side holds few texts at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def unit_hash(*columns):
     """A number in [0, 1) that depends only on the values."""
     return (F.shiftrightunsigned(F.xxhash64(*columns), 11)).cast("double") / F.lit(float(1 << 53))

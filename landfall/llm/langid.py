@@ -5,12 +5,14 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm.common import remainder, stored, unit_hash
+from landfall.llm.common import remainder, slices, stored, unit_hash
 
 BUCKET_BITS = 15
 MAX_LANGUAGES = 128
 SAMPLE_DOCS = 10_000
-PIECE = 400_000
+#: Characters looked at together, and the numbers that scoring them may hold at a time.
+PIECE = 100_000
+CELLS = 1_600_000
 UNKNOWN = "und"
 
 
@@ -33,24 +35,24 @@ def _grams(code):
     return first, (one >> shift), (two >> shift), (three >> shift)
 
 
-def _pieces(texts):
-    """Batches of at most about ``PIECE`` characters: (code points, owners' ends, owners).
+def _pieces(texts, size=PIECE):
+    """Batches of at most about ``size`` characters: (code points of each part, their owners).
 
     A longer text is cut into several pieces, which together cover all of it.
     """
-    codes, owners, room = [], [], PIECE
+    codes, owners, room = [], [], size
     for i, text in enumerate(texts):
         if not text:
             continue
         text = text.lower()
-        for at in range(0, len(text), PIECE):
-            part = text[at:at + PIECE]
+        for at in range(0, len(text), size):
+            part = text[at:at + size]
             codes.append(np.frombuffer((part + "\x00\x00").encode("utf-32-le", "surrogatepass"), np.uint32))
             owners.append(i)
             room -= len(part)
             if room <= 0:
                 yield codes, owners
-                codes, owners, room = [], [], PIECE
+                codes, owners, room = [], [], size
     if codes:
         yield codes, owners
 
@@ -58,7 +60,7 @@ def _pieces(texts):
 def _count(batches):
     size = 1 << BUCKET_BITS
     sums = {}
-    for batch in batches:
+    for batch in slices(batches):
         langs = batch.column("lang").to_pylist()
         for codes, owners in _pieces(batch.column("text").to_pylist()):
             for code, i in zip(codes, owners):
@@ -111,25 +113,29 @@ def _has_letter(text):
     return text is not None and any(map(str.isalpha, text))
 
 
-def predict(spark, docs, model):
+def predict(spark, docs, model, keep=None):
     """``docs`` with lang_pred and score, over whole texts.
 
     A text that is NULL or has no letter is ``und`` with score 0, as is every text if nothing
     was learned. Equal likelihoods go to the language first in code-point order. The score is
     the largest softmax value of the log-likelihoods divided by the root of the number of
-    n-grams. All input columns are kept; their names must not be lang_pred or score.
+    n-grams. All input columns, or those named in ``keep``, are kept; their names must not be
+    lang_pred or score.
     """
     languages, matrix = model
     shared = spark.sparkContext.broadcast(matrix)
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()),
+    fields = [f for f in docs.schema.fields if keep is None or f.name in keep]
+    kept = [f.name for f in fields]
+    schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
+    piece_size = min(PIECE, CELLS // max(1, len(languages)))
 
     def score(batches):
         logs = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             sums, grams = np.zeros((len(texts), len(languages))), np.zeros(len(texts))
-            for codes, owners in _pieces(texts) if languages else ():
+            for codes, owners in _pieces(texts, piece_size) if languages else ():
                 code = _letters(np.concatenate(codes))
                 ends = np.cumsum([len(c) for c in codes])
                 first, *parts = _grams(code)
@@ -150,8 +156,8 @@ def predict(spark, docs, model):
                 found.append(languages[best])
                 scores[i] = 1 / np.exp((sums[i] - sums[i][best]) / np.sqrt(max(grams[i], 1))).sum()
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.string()), pa.array(scores)],
-                names=[*batch.schema.names, "lang_pred", "score"],
+                [*map(batch.column, kept), pa.array(found, pa.string()), pa.array(scores)],
+                names=[*kept, "lang_pred", "score"],
             )
 
     return docs.mapInArrow(score, schema)
@@ -163,4 +169,4 @@ def identify(spark, docs, sample_docs=SAMPLE_DOCS):
     rows = docs.select(
         "doc_id", (F.coalesce(remainder("doc_id", 4), F.lit(0)) == 2).alias("held_out"), "text"
     )
-    return predict(spark, rows, model).select("doc_id", "held_out", "lang_pred", "score")
+    return predict(spark, rows, model, ("doc_id", "held_out")).select("doc_id", "held_out", "lang_pred", "score")

@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from landfall.llm.common import sized, stored
+from landfall.llm.common import sized, slices, stored
 
 SHINGLE = 5
 K = 48
@@ -27,7 +27,7 @@ K = 48
 LEAST = 17
 PERCENT = 75
 FEW = 10
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
 PIECE = 1 << 22
 _FACTORS = [np.uint64(x) for x in (
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -85,15 +85,9 @@ def _lists(arrays):
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int64)))
 
 
-def _slices(batches, rows=256):
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
-
-
 def _sketches(batches):
     cache = _WordHash()
-    for batch in _slices(batches):
+    for batch in slices(batches):
         sets = [shingle_set(t, cache) for t in batch.column("text").to_pylist()]
         prints = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
         halves = np.frombuffer(b"".join(prints), ">i8").reshape(-1, 2).astype(np.int64)
@@ -106,7 +100,7 @@ def _sketches(batches):
 
 def _full_sets(batches):
     cache = _WordHash()
-    for batch in _slices(batches, 64):
+    for batch in slices(batches, 64):
         sets = [shingle_set(t, cache) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("node"), _lists(sets)], names=["node", "items"])
 

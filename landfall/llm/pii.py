@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm.common import unit_hash
+from landfall.llm.common import slices, unit_hash
 
 #: Fixed order of the kinds.
 KINDS = ("email", "ip", "card", "phone")
@@ -364,7 +364,7 @@ def redact(spark, docs, sample_docs=SAMPLE_DOCS):
 
     def mask(batches):
         model = SegmentField(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             i, n = batch.schema.get_field_index("text"), batch.schema.get_field_index("n_chars")
             texts = [t and masked(t, model) for t in batch.column("text").to_pylist()]
             batch = batch.set_column(i, batch.schema.field(i), pa.array(texts, batch.schema.field(i).type))

@@ -22,7 +22,7 @@ LEAST_EVIDENCE = 20.0
 BEGINNINGS = (4, 5)
 FACTORS = 8
 EPOCHS = 12
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
