@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.functions.names import quoted
+from landfall.session import scratch_dir
+from landfall.sources.writers import stage_parquet
 
 BROADCAST_LIMIT = 32 * 1024 * 1024
 
@@ -18,11 +20,15 @@ def payload_bytes(df):
     return df.agg(F.coalesce(F.sum(row_bytes.cast("long")), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def lookup_join(df, lookup, on, how="left", limit=BROADCAST_LIMIT):
+def lookup_join(df, lookup, on, how="left", limit=BROADCAST_LIMIT, computed=False):
     """Join ``df`` to a lookup table, broadcast only if its measured size is small.
 
     Measuring is one aggregate over the lookup. A larger lookup is joined by
-    shuffling both sides, where adaptive execution splits hot keys.
+    shuffling both sides, where adaptive execution splits hot keys. A lookup that is
+    ``computed``, not read from a table, is stored in the shared scratch folder first, so that
+    measuring and joining do not compute it twice.
     """
+    if computed:
+        lookup = stage_parquet(lookup, scratch_dir(lookup.sparkSession, "lookup"))
     small = payload_bytes(lookup) <= limit
     return df.join(F.broadcast(lookup) if small else lookup, on, how)

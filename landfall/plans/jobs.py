@@ -45,7 +45,8 @@ def read_table(spark, cfg, table):
     return readers.read_parquet(spark, join_path(cfg.output, table), schemas.TARGETS[table])
 
 
-def _write_and_check(df, cfg, table, partitions=None):
+def _write_and_check(df, cfg, table, partitions=None, keys=None):
+    """``keys`` are tried first as a proof that no row repeats; they need not be unique."""
     problems = quality.schema_problems(df, schemas.TARGETS[table])
     if problems:
         raise CheckFailed(f"{table}: {'; '.join(problems)}")
@@ -54,7 +55,7 @@ def _write_and_check(df, cfg, table, partitions=None):
         rows = writers.write_partitioned(df, path, partitions)
     else:
         rows = writers.write_table(df, path)
-    check = quality.check_table(read_table(df.sparkSession, cfg, table), table)
+    check = quality.check_table(read_table(df.sparkSession, cfg, table), table, keys)
     if check.total_rows != rows:
         raise CheckFailed(f"{table}: {rows} rows written, {check.total_rows} read back")
     return check
@@ -79,24 +80,27 @@ def run_arrivals(spark, cfg):
     cleaned = writers.stage_parquet(
         clean_arrivals(raw, cfg.arrivals_rule), join_path(cfg.staging, f"arrivals-{uuid.uuid4().hex}")
     )
+    keys = cfg.arrivals_rule.keys
     return _side_by_side(
         spark,
-        lambda: _write_and_check(model.dim_calendar(cleaned), cfg, "dim_calendar", CALENDAR_PARTITIONS),
-        lambda: _write_and_check(model.dim_immigrant(cleaned), cfg, "dim_immigrant"),
-        lambda: _write_and_check(model.fact_arrivals(cleaned), cfg, "fact_i94_immigration"),
+        lambda: _write_and_check(
+            model.dim_calendar(cleaned), cfg, "dim_calendar", CALENDAR_PARTITIONS, keys=["arrdate"]),
+        lambda: _write_and_check(model.dim_immigrant(cleaned), cfg, "dim_immigrant", keys=keys),
+        lambda: _write_and_check(model.fact_arrivals(cleaned), cfg, "fact_i94_immigration", keys=keys),
     )
 
 
 def run_demographics(spark, cfg):
     raw = readers.read_demographics(spark, join_path(cfg.inputs, cfg.demographics))
     table = model.dim_demographics(cfg.demographics_rule(raw))
-    return [_write_and_check(table, cfg, "dim_usa_demographics")]
+    return [_write_and_check(table, cfg, "dim_usa_demographics", keys=["id"])]
 
 
 def run_temperatures(spark, cfg):
     raw = readers.read_temperatures(spark, join_path(cfg.inputs, cfg.temperatures))
     table = model.dim_temperatures(cfg.temperatures_rule(raw))
-    return [_write_and_check(table, cfg, "dim_temperatures")]
+    keys = [model.TEMPERATURES_NAMES[k] for k in cfg.temperatures_rule.keys or ()]
+    return [_write_and_check(table, cfg, "dim_temperatures", keys=keys)]
 
 
 def run_all(spark, cfg):

@@ -18,7 +18,10 @@ def fact_with_immigrant(fact, immigrant):
 
 
 def fact_with_calendar(fact, calendar):
-    """Every fact row; an unknown arrival date matches no calendar row."""
+    """Every fact row; an unknown arrival date matches no calendar row.
+
+    ``calendar`` should be the written table: it is read once to measure it and once to join.
+    """
     return lookup_join(fact, calendar, "arrdate")
 
 
@@ -38,7 +41,7 @@ def state_population(demographics):
 def fact_with_state(fact, demographics):
     """Adds the population of the state of arrival; rows of unknown states stay."""
     states = state_population(demographics).withColumnRenamed("state_code", "i94addr")
-    return lookup_join(fact, states, "i94addr")
+    return lookup_join(fact, states, "i94addr", computed=True)
 
 
 def _city_key(column):
@@ -57,4 +60,5 @@ def temperatures_with_city(temperatures, demographics, country="United States"):
     readings = temperatures.filter(F.col("country") == country).withColumn(
         "city_key", _city_key(F.col("city"))
     )
-    return lookup_join(readings, city_population(demographics), "city_key", "inner").drop("city_key")
+    cities = city_population(demographics)
+    return lookup_join(readings, cities, "city_key", "inner", computed=True).drop("city_key")

@@ -62,8 +62,11 @@ class View:
         )
 
 
-# Thirty two-letter codes, the first 25 of which the test dictionary lists.
-STATES = "ALAKAZARCACOCTDEFLGAHIIDILINIAKSKYLAMEMDMAMIMNMSMONENVNHNJNM"
+# Thirty two-letter codes, the first 25 of which the test dictionary lists; ``substr`` picks one.
+STATES = "".join((
+    "AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA", "HI", "ID", "IL", "IN", "IA",
+    "KS", "KY", "LA", "ME", "MD", "MA", "MI", "MN", "MS", "MO", "NE", "NV", "NH", "NJ", "NM",
+))
 
 ARRIVALS = View(
     "lineitem",
@@ -224,5 +227,23 @@ def label_texts(spark, sf_dir):
     return result
 
 
+def label_blocks(spark, sf_dir, most=500):
+    """The same dictionary as blocks of up to ``most`` entries, a text each."""
+    result = None
+    for table, fmt, code, label in DICTIONARY:
+        number = fmt in ("i94cntyl", "i94model")
+        line = F.concat(
+            F.lit("   "), F.expr(code) if number else F.concat(F.lit("'"), F.expr(code), F.lit(" '\t")),
+            F.lit(" =  '"), F.replace(F.expr(label), F.lit("'"), F.lit("''")), F.lit("'\n"))
+        block = F.concat(
+            F.lit(f"/* 'old' = 'label' */\nvalue {'' if number else '$'}{fmt}\n"),
+            F.array_join(F.sort_array(F.collect_list(line)), ""), F.lit(";\n"))
+        part = load(spark, sf_dir, table).groupBy(
+            F.floor(F.col(f"{table[0]}_{table}key") / most).alias("block")).agg(block.alias("value"))
+        part = part.select("value")
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
 def codes(spark, sf_dir):
     return parse_labels(label_texts(spark, sf_dir))

@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from landfall.operators import cleaning
 from landfall.plans import decode, jobs
-from suite.inputs import ARRIVALS, CODES_SQL, codes
+from landfall.session import scratch_dir
+from landfall.sources.labels import read_labels
+from suite.inputs import ARRIVALS, CODES_SQL, codes, label_blocks
 from suite.model_queries import CLEAN, RAW
 from suite.registry import query
 
@@ -33,13 +35,24 @@ def _whole(column):
     )
 
 
-@query("label_dictionary", f"""WITH codes AS ({CODES_SQL})
+LABELS = f"""WITH codes AS ({CODES_SQL})
     SELECT fmt, CASE WHEN fmt IN ('i94prtl', 'i94addrl') THEN code || ' ' ELSE code END AS raw_code,
-      code, label FROM codes""")
+      code, label FROM codes"""
+
+
+@query("label_dictionary", LABELS)
 def label_dictionary(spark, sf_dir):
     return codes(spark, sf_dir)
 
 
+@query("label_dictionary_file", LABELS)
+def label_dictionary_file(spark, sf_dir):
+    """The dictionary written as files with blocks of many entries, and read from them."""
+    path = scratch_dir(spark, "dictionary")
+    label_blocks(spark, sf_dir).write.text(path)
+    return read_labels(spark, path)
+
+
 @query("decode_codes", f"""{CTES}
     SELECT cicid, i94cit, i94cntyl.label AS country FROM clean a {_lookup('i94cntyl', _whole('a.i94cit'))}""")
 def decode_codes(spark, sf_dir):

@@ -90,6 +90,20 @@ def clean_arrivals_by_key(spark, sf_dir):
     return _clean_arrivals(spark, sf_dir)
 
 
+RULE_DROPS = ("occup", "entdepu", "insnum")
+RULE_ORDER = [c for c in MODEL_COLUMNS if c != "cicid"] + [
+    c for c in ARRIVALS.columns if c not in MODEL_COLUMNS and c not in RULE_DROPS]
+
+
+@query("clean_arrivals_rule", f"""WITH {RAW} SELECT * EXCLUDE (pick) FROM (
+    SELECT * EXCLUDE ({_names(RULE_DROPS)}), row_number() OVER (PARTITION BY cicid ORDER BY
+      {", ".join(f'"{c}" NULLS LAST' for c in RULE_ORDER)}) AS pick
+    FROM raw WHERE cicid IS NOT NULL AND NOT isnan(cicid)) WHERE pick = 1""")
+def clean_arrivals_rule(spark, sf_dir):
+    """The rule itself on all its 25 columns."""
+    return cleaning.ARRIVALS_BY_ID(ARRIVALS.frame(spark, sf_dir))
+
+
 @query("dim_calendar", f"""WITH {RAW}, {_calendar('calendar', 'raw')}
     SELECT * REPLACE (CAST(arrdate AS VARCHAR) AS arrdate) FROM calendar""")
 def dim_calendar(spark, sf_dir):
@@ -279,7 +293,8 @@ def join_fact_immigrant(spark, sf_dir):
     FROM fact f LEFT JOIN calendar c ON f.arrdate = c.arrdate""")
 def join_fact_calendar(spark, sf_dir):
     cleaned = _staged_arrivals(spark, sf_dir)
-    joined = star.fact_with_calendar(model.fact_arrivals(cleaned), model.dim_calendar(cleaned))
+    calendar = writers.stage_parquet(model.dim_calendar(cleaned), scratch_dir(spark, "calendar"))
+    joined = star.fact_with_calendar(model.fact_arrivals(cleaned), calendar)
     return _iso(joined.select("cicid", "arrdate", "id", "year", "week", "weekday"), "arrdate")
 
 

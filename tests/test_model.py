@@ -123,6 +123,16 @@ def test_equal_hashes_are_not_taken_for_duplicates(spark):
     assert (check.total_rows, check.duplicates, check.status) == (2, 0, "passed")
 
 
+def test_keys_prove_rows_distinct_and_are_only_a_proof(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, _h1 string")
+    check = quality.check_table(df, "t", ["k"])  # a repeated key is no repeated row
+    assert (check.total_rows, check.duplicates, check.status) == (4, 0, "passed")
+    assert quality.check_table(df.union(df), "t", ["k"]).duplicates == quality.quality_report(
+        df.union(df), "t").first()["duplicates"]
+    assert quality.check_table(df.filter("k = 2 OR k IS NULL"), "t", ["k"]).status == "passed"
+    assert quality.check_table(df.limit(0), "t", ["k"]).message == quality.EMPTY
+
+
 def test_key_and_orphan_reports(spark):
     df = spark.createDataFrame([(1.0,), (1.0,), (2.0,), (None,), (NAN,)], "k double")
     assert tuple(quality.unique_key_report(df, "t", ["k"]).first()) == ("t", 5, 2, 1, 2)

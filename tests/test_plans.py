@@ -95,6 +95,14 @@ def test_lookup_is_broadcast_only_below_the_limit(spark, plan):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_a_computed_lookup_is_stored_before_it_is_joined(spark, plan):
+    big = spark.range(1000).selectExpr("id AS k", "id AS v")
+    lookup = spark.range(300).selectExpr("id % 100 AS k").groupBy("k").count()
+    joined = lookup_join(big, lookup, "k", computed=True)
+    assert "HashAggregate" not in plan(joined) and "FileScan" in plan(joined)
+    assert joined.filter("count = 3").count() == 100
+
+
 def test_no_cartesian_products(stored, plan):
     fact, calendar = model.fact_arrivals(stored), model.dim_calendar(stored)
     for df in (star.fact_with_calendar(fact, calendar), star.fact_with_immigrant(fact, model.dim_immigrant(stored))):
