@@ -2,18 +2,24 @@
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landfall import schemas
+from landfall.functions.dates import day_number_to_date
 from landfall.operators import cleaning
 from landfall.plans import model, quality
 from landfall.sources import readers, writers
 from landfall.sources.paths import join_path
 
 CALENDAR_PARTITIONS = ("year", "month")
+#: Folders of the monthly layout; 0 and 0 stand for an unknown date. They are no columns of a target.
+ARRIVAL_MONTH = ("arrival_year", "arrival_month")
+READING_MONTH = ("reading_year", "reading_month")
+CLEAN_ARRIVALS = "arrivals_clean"
 
 
 @dataclass(frozen=True)
@@ -22,6 +28,11 @@ class LakeConfig:
 
     ``staging`` holds the cleaned arrivals between the three writes that read them;
     it must be a folder that all executors can reach.
+
+    ``monthly`` splits the arrivals' tables by month of arrival and the temperatures by month, and
+    keeps the cleaned arrivals beside them, so that ``refresh_arrivals`` and ``refresh_temperatures``
+    can replace single months. The row key of arrivals then counts within its month: a cicid that
+    comes again in another month is another arrival.
     """
 
     output: str
@@ -34,6 +45,7 @@ class LakeConfig:
     arrivals_rule: cleaning.CleanRule = field(default=cleaning.ARRIVALS_BY_ID)
     temperatures_rule: cleaning.CleanRule = field(default=cleaning.TEMPERATURES_BY_CITY_DATE)
     demographics_rule: cleaning.CleanRule = field(default=cleaning.FULL_ROW)
+    monthly: bool = False
 
 
 class CheckFailed(RuntimeError):
@@ -47,7 +59,9 @@ def read_table(spark, cfg, table):
 
 def _write_and_check(df, cfg, table, partitions=None, keys=None):
     """``keys`` are tried first as a proof that no row repeats; they need not be unique."""
-    problems = quality.schema_problems(df, schemas.TARGETS[table])
+    contract = schemas.TARGETS[table]
+    folders = [c for c in partitions or () if c not in contract.names]
+    problems = quality.schema_problems(df.drop(*folders), contract)
     if problems:
         raise CheckFailed(f"{table}: {'; '.join(problems)}")
     path = join_path(cfg.output, table)
@@ -61,14 +75,54 @@ def _write_and_check(df, cfg, table, partitions=None, keys=None):
     return check
 
 
-def clean_arrivals(raw, rule):
-    """Cleaned arrivals. With a row key, columns that no target reads are never scanned."""
+def clean_arrivals(raw, rule, monthly=False):
+    """Cleaned arrivals. With a row key, columns that no target reads are never scanned.
+
+    ``monthly`` adds the month of arrival and makes it part of the row key.
+    """
     if rule.keys:
         wanted = set(model.arrivals_model_columns()) | set(rule.keys) | set(rule.required or ())
         raw = raw.select([c for c in raw.columns if c in wanted])
+    if monthly:
+        raw = _with_month(raw, day_number_to_date(F.col("arrdate")), ARRIVAL_MONTH)
+        rule = _monthly_rule(rule)
     return rule(raw)
 
 
+def _monthly_rule(rule):
+    """The rule for rows that carry their month, which is never missing."""
+    keys = (*rule.keys, *ARRIVAL_MONTH) if rule.keys else None
+    required = rule.required or tuple(c for c in schemas.ARRIVALS.names if c not in rule.drop_cols)
+    return replace(rule, keys=keys, required=required)
+
+
+def _with_month(df, date, columns):
+    year, month = columns
+    return df.withColumns({
+        year: F.coalesce(F.year(date), F.lit(0)), month: F.coalesce(F.month(date), F.lit(0)),
+    })
+
+
+def _months(df, columns):
+    """The months of ``df`` as year * 100 + month: at most twelve for each of 9999 years."""
+    year, month = columns
+    number = (F.col(year) * 100 + F.col(month)).alias("number")
+    return sorted(r.number for r in df.select(number).distinct().collect())
+
+
+def _in_months(stored, months, columns):
+    """A filter on the folders alone, so that files of other months are not read."""
+    year, month = columns
+    return stored.filter((F.col(year) * 100 + F.col(month)).isin(months))
+
+
+def _stored(spark, cfg, table, columns, partitions):
+    """A month-partitioned table with its folder columns; ``columns`` are its fields."""
+    fields = [f for f in columns if f.name not in partitions]
+    folders = [T.StructField(p, T.IntegerType()) for p in partitions]
+    return spark.read.schema(T.StructType(fields + folders)).parquet(join_path(cfg.output, table))
+
+
 def _side_by_side(spark, *steps):
     """Run independent Spark actions at once, so that short ones fill idle executors."""
     with ThreadPoolExecutor(len(steps)) as pool:
@@ -77,17 +131,29 @@ def _side_by_side(spark, *steps):
 
 def run_arrivals(spark, cfg):
     raw = readers.read_arrivals(spark, join_path(cfg.inputs, cfg.arrivals))
-    cleaned = writers.stage_parquet(
-        clean_arrivals(raw, cfg.arrivals_rule), join_path(cfg.staging, f"arrivals-{uuid.uuid4().hex}")
-    )
+    cleaned = clean_arrivals(raw, cfg.arrivals_rule, cfg.monthly)
+    staged = None
+    if cfg.monthly:
+        path = join_path(cfg.output, CLEAN_ARRIVALS)
+        writers.write_partitioned(cleaned, path, ARRIVAL_MONTH)
+        cleaned = _stored(spark, cfg, CLEAN_ARRIVALS, cleaned.schema.fields, ARRIVAL_MONTH)
+    else:
+        staged = join_path(cfg.staging, f"arrivals-{uuid.uuid4().hex}")
+        cleaned = writers.stage_parquet(cleaned, staged)
     keys = cfg.arrivals_rule.keys
-    return _side_by_side(
+    folders = ARRIVAL_MONTH if cfg.monthly else ()
+    checks = _side_by_side(
         spark,
         lambda: _write_and_check(
             model.dim_calendar(cleaned), cfg, "dim_calendar", CALENDAR_PARTITIONS, keys=["arrdate"]),
-        lambda: _write_and_check(model.dim_immigrant(cleaned), cfg, "dim_immigrant", keys=keys),
-        lambda: _write_and_check(model.fact_arrivals(cleaned), cfg, "fact_i94_immigration", keys=keys),
+        lambda: _write_and_check(
+            model.dim_immigrant(cleaned, folders), cfg, "dim_immigrant", folders, keys=keys),
+        lambda: _write_and_check(
+            model.fact_arrivals(cleaned, folders), cfg, "fact_i94_immigration", folders, keys=keys),
     )
+    if staged:
+        writers.remove_staged(spark, staged)
+    return checks
 
 
 def run_demographics(spark, cfg):
@@ -99,8 +165,14 @@ def run_demographics(spark, cfg):
 def run_temperatures(spark, cfg):
     raw = readers.read_temperatures(spark, join_path(cfg.inputs, cfg.temperatures))
     table = model.dim_temperatures(cfg.temperatures_rule(raw))
-    keys = [model.TEMPERATURES_NAMES[k] for k in cfg.temperatures_rule.keys or ()]
-    return [_write_and_check(table, cfg, "dim_temperatures", keys=keys)]
+    folders = ()
+    if cfg.monthly:
+        table, folders = _with_month(table, F.col("dt"), READING_MONTH), READING_MONTH
+    return [_write_and_check(table, cfg, "dim_temperatures", folders, keys=_temperature_keys(cfg))]
+
+
+def _temperature_keys(cfg):
+    return [model.TEMPERATURES_NAMES[k] for k in cfg.temperatures_rule.keys or ()]
 
 
 def run_all(spark, cfg):
@@ -132,5 +204,75 @@ def refresh_calendar(arrivals, cfg):
     return writers.refresh_partitions(merged, join_path(cfg.output, "dim_calendar"), CALENDAR_PARTITIONS)
 
 
+def _replace_months(rows, cfg, table, months, partitions, keys):
+    """Replace the months of ``rows``, which hold all rows of these months; check them alone."""
+    written = writers.refresh_partitions(rows, join_path(cfg.output, table), partitions)
+    stored = _stored(rows.sparkSession, cfg, table, schemas.TARGETS[table].fields, partitions)
+    check = quality.check_table(_in_months(stored, months, partitions).drop(*partitions), table, keys)
+    if check.total_rows != written:
+        raise CheckFailed(f"{table}: {written} rows written, {check.total_rows} read back")
+    return check
+
+
+def _needs_months(cfg):
+    if not cfg.monthly:
+        raise ValueError("only a lake with monthly=True can be refreshed by month")
+
+
+def refresh_arrivals(batch, cfg):
+    """Merge the raw arrivals ``batch`` into the months that it touches; the others stay unread.
+
+    The cleaning rule runs over stored and new rows of a month together, so the tables equal those
+    of a whole run over all rows. Merging a batch twice changes nothing, so a refresh that failed
+    midway is simply repeated. Returns checks of the touched months; none for a batch without rows.
+    """
+    _needs_months(cfg)
+    spark = batch.sparkSession
+    run = join_path(cfg.staging, f"arrivals-{uuid.uuid4().hex}")
+    new = readers.conform(batch, schemas.ARRIVALS, "the batch")
+    new = writers.stage_parquet(clean_arrivals(new, cfg.arrivals_rule, True), join_path(run, "new"))
+    months = _months(new, ARRIVAL_MONTH)
+    checks = []
+    if months:
+        stored = _stored(spark, cfg, CLEAN_ARRIVALS, new.schema.fields, ARRIVAL_MONTH)
+        both = new.unionByName(_in_months(stored, months, ARRIVAL_MONTH))
+        merged = writers.stage_parquet(_monthly_rule(cfg.arrivals_rule)(both), join_path(run, "merged"))
+        keys = cfg.arrivals_rule.keys
+        # These months' dates anew, since a stored row may have given way to one of another day.
+        writers.refresh_partitions(
+            model.dim_calendar(merged), join_path(cfg.output, "dim_calendar"), CALENDAR_PARTITIONS)
+        checks = _side_by_side(
+            spark,
+            lambda: _replace_months(model.dim_immigrant(merged, ARRIVAL_MONTH), cfg, "dim_immigrant",
+                                    months, ARRIVAL_MONTH, keys),
+            lambda: _replace_months(model.fact_arrivals(merged, ARRIVAL_MONTH), cfg,
+                                    "fact_i94_immigration", months, ARRIVAL_MONTH, keys),
+        )
+        writers.refresh_partitions(merged, join_path(cfg.output, CLEAN_ARRIVALS), ARRIVAL_MONTH)
+    writers.remove_staged(spark, run)
+    return checks
+
+
+def refresh_temperatures(batch, cfg):
+    """The same for raw temperature readings."""
+    _needs_months(cfg)
+    spark = batch.sparkSession
+    run = join_path(cfg.staging, f"temperatures-{uuid.uuid4().hex}")
+    new = readers.conform(batch, schemas.TEMPERATURES, "the batch")
+    new = _with_month(model.dim_temperatures(cfg.temperatures_rule(new)), F.col("dt"), READING_MONTH)
+    new = writers.stage_parquet(new, join_path(run, "new"))
+    months = _months(new, READING_MONTH)
+    checks = []
+    if months:
+        stored = _stored(spark, cfg, "dim_temperatures", schemas.DIM_TEMPERATURES.fields, READING_MONTH)
+        both = new.unionByName(_in_months(stored, months, READING_MONTH))
+        keys = _temperature_keys(cfg)
+        merged = cleaning.drop_duplicate_rows(both, keys or None)
+        merged = writers.stage_parquet(merged, join_path(run, "merged"))
+        checks = [_replace_months(merged, cfg, "dim_temperatures", months, READING_MONTH, keys)]
+    writers.remove_staged(spark, run)
+    return checks
+
+
 def report_frame(spark, checks):
     return spark.createDataFrame(checks, quality.CHECK_SCHEMA)

@@ -48,12 +48,13 @@ def dim_calendar(arrivals, keep_unknown=True):
     )
 
 
-def dim_immigrant(arrivals):
-    return arrivals.select(*schemas.DIM_IMMIGRANT.names)
+def dim_immigrant(arrivals, folders=()):
+    """``folders`` are further columns by which the table is to be split."""
+    return arrivals.select(*schemas.DIM_IMMIGRANT.names, *folders)
 
 
-def fact_arrivals(arrivals):
-    return arrivals.select(*schemas.FACT_ARRIVALS.names).withColumn(
+def fact_arrivals(arrivals, folders=()):
+    return arrivals.select(*schemas.FACT_ARRIVALS.names, *folders).withColumn(
         "arrdate", day_number_to_date(F.col("arrdate"))
     )
 

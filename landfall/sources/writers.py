@@ -44,3 +44,9 @@ def stage_parquet(df, path):
     """
     write_table(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_staged(spark, path):
+    """Delete a staging copy that this run made and no longer reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

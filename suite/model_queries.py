@@ -1,5 +1,7 @@
 """Table builders, jobs, questions, star joins and integrity checks."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from landfall import schemas
@@ -235,6 +237,35 @@ def monthly_refresh(spark, sf_dir):
     return _iso(jobs.read_table(spark, cfg, "dim_calendar"), "arrdate")
 
 
+# A day in the middle of a month: the batch adds to a stored month and brings later ones.
+LATER = "coalesce(arrdate >= 13000 OR isnan(arrdate), false)"
+LATER_DT = "coalesce(dt >= DATE '1995-08-11', false)"
+MONTHLY_CLEAN = CLEAN.replace(
+    "PARTITION BY cicid", f"PARTITION BY cicid, year({_date_sql('arrdate')}), month({_date_sql('arrdate')})", 1)
+
+
+@query("monthly_refresh_fact", f"""WITH {RAW}, {MONTHLY_CLEAN}, {FACT}
+    SELECT * REPLACE (CAST(arrdate AS VARCHAR) AS arrdate) FROM fact""")
+def monthly_refresh_fact(spark, sf_dir):
+    cfg = replace(_lake(spark, sf_dir), monthly=True)
+    raw = writers.stage_parquet(ARRIVALS.frame(spark, sf_dir), scratch_dir(spark, "raw"))
+    raw.filter(f"NOT {LATER}").write.parquet(join_path(cfg.inputs, cfg.arrivals))
+    jobs.run_arrivals(spark, cfg)
+    jobs.refresh_arrivals(raw.filter(LATER), cfg)
+    return _iso(jobs.read_table(spark, cfg, "fact_i94_immigration"), "arrdate")
+
+
+@query("monthly_refresh_temperatures", f"""{TEMPERATURES_DIM}
+    SELECT * REPLACE (CAST(dt AS VARCHAR) AS dt) FROM temperatures""")
+def monthly_refresh_temperatures(spark, sf_dir):
+    cfg = replace(_lake(spark, sf_dir), monthly=True)
+    raw = writers.stage_parquet(TEMPERATURES.frame(spark, sf_dir), scratch_dir(spark, "raw"))
+    raw.filter(f"NOT {LATER_DT}").write.option("header", True).csv(join_path(cfg.inputs, cfg.temperatures))
+    jobs.run_temperatures(spark, cfg)
+    jobs.refresh_temperatures(raw.filter(LATER_DT), cfg)
+    return _iso(jobs.read_table(spark, cfg, "dim_temperatures"), "dt")
+
+
 # --- questions -------------------------------------------------------------
 
 @query("top_states_sum", f"""{STAR} SELECT i94addr, sum("count") AS sum_count FROM fact

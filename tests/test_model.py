@@ -233,3 +233,51 @@ def test_the_job_and_the_rule_keep_the_same_arrivals(spark):
     one = cleaning.ARRIVALS_BY_ID(raw).select(columns).collect()
     two = jobs.clean_arrivals(raw, cleaning.ARRIVALS_BY_ID).select(columns).collect()
     assert sorted(one) == sorted(two) and len(one) == 40
+
+
+def test_refresh_by_month_equals_a_run_over_all_rows(spark, tmp_path, few, rows):
+    late = arrivals(
+        spark,
+        dict(cicid=1.0, arrdate=DAY + 3, count=1.0, i94addr="AK"),  # same month: one row stays
+        dict(cicid=1.0, arrdate=DAY + 40, count=1.0),  # another month: another arrival
+        dict(cicid=9.0, arrdate=DAY + 41, count=1.0), dict(cicid=4.0, arrdate=None, count=1.0),
+    )
+    step = lake(spark, tmp_path / "a", few, monthly=True)
+    whole = lake(spark, tmp_path / "b", few.union(late), monthly=True)
+    jobs.run_all(spark, step)
+    jobs.run_all(spark, whole)
+    for _ in range(2):  # the same batch again changes nothing
+        checks = jobs.refresh_arrivals(late, step)
+        assert {c.status for c in checks} == {"passed"}
+        for table in schemas.TARGETS:
+            assert rows(jobs.read_table(spark, step, table)) == rows(jobs.read_table(spark, whole, table))
+    assert jobs.refresh_arrivals(late.limit(0), step) == []
+    assert not any((tmp_path / "a" / "stage").glob("arrivals-*"))
+
+
+def test_temperatures_refresh(spark, tmp_path, few):
+    cfg = lake(spark, tmp_path, few, monthly=True)
+    jobs.run_temperatures(spark, cfg)
+    batch = spark.createDataFrame([
+        (dt.date(1743, 11, 1), 5.0, None, "Here", "There", None, None),
+        (dt.date(1743, 11, 1), 7.0, None, "Else", "There", None, None),
+        (None, 1.0, None, "Here", "There", None, None),
+        (dt.date(1750, 1, 1), None, None, "Here", "There", None, None),
+    ], schemas.TEMPERATURES)
+    assert [c.total_rows for c in jobs.refresh_temperatures(batch, cfg)] == [3]
+    found = {(r.dt, r.city): r.avg_temp for r in jobs.read_table(spark, cfg, "dim_temperatures").collect()}
+    assert found == {(dt.date(1743, 11, 1), "Here"): 5.0, (dt.date(1743, 11, 1), "Else"): 7.0, (None, "Here"): 1.0}
+
+
+def test_refresh_reads_only_the_touched_months(spark, tmp_path, few):
+    cfg = lake(spark, tmp_path, few, monthly=True)
+    jobs.run_arrivals(spark, cfg)
+    stored = jobs._stored(spark, cfg, "fact_i94_immigration", schemas.FACT_ARRIVALS.fields, jobs.ARRIVAL_MONTH)
+    april = jobs._in_months(stored, [201604], jobs.ARRIVAL_MONTH)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    shown = april._jdf.queryExecution().explainString(mode)
+    assert "PartitionFilters: [" in shown and "Filter (" not in shown
+    read = {r.f for r in april.select(F.input_file_name().alias("f")).collect()}
+    assert read and all("arrival_year=2016/arrival_month=4/" in f for f in read)
+    with pytest.raises(ValueError, match="monthly"):
+        jobs.refresh_arrivals(few, lake(spark, tmp_path / "flat", few))
