@@ -239,7 +239,7 @@ def monthly_refresh(spark, sf_dir):
 
 # A day in the middle of a month: the batch adds to a stored month and brings later ones.
 LATER = "coalesce(arrdate >= 13000 OR isnan(arrdate), false)"
-LATER_DT = "coalesce(dt >= DATE '1995-08-11', false)"
+LATER_DT = "coalesce(dt >= DATE '2024-01-16', false)"
 MONTHLY_CLEAN = CLEAN.replace(
     "PARTITION BY cicid", f"PARTITION BY cicid, year({_date_sql('arrdate')}), month({_date_sql('arrdate')})", 1)
 

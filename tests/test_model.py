@@ -281,3 +281,10 @@ def test_refresh_reads_only_the_touched_months(spark, tmp_path, few):
     assert read and all("arrival_year=2016/arrival_month=4/" in f for f in read)
     with pytest.raises(ValueError, match="monthly"):
         jobs.refresh_arrivals(few, lake(spark, tmp_path / "flat", few))
+
+
+def test_first_batch_into_a_monthly_lake_without_rows(spark, tmp_path, few):
+    cfg = lake(spark, tmp_path, few.limit(0), monthly=True)
+    assert {c.message for c in jobs.run_arrivals(spark, cfg)} == {quality.EMPTY}
+    assert [c.total_rows for c in jobs.refresh_arrivals(few, cfg)] == [5, 5]
+    assert jobs.read_table(spark, cfg, "dim_calendar").count() == 3
