@@ -29,9 +29,11 @@ BLOCK = frozenset(
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"tr", "td", "th", "thead"}}
 SCOPES = frozenset("ul ol dl table div section article body main aside td th blockquote form".split())
+#: A quote opens a value only after an equals sign, and the value is read whole. Any other quote, and
+#: one that is never closed, is a plain mark: at most one quote of each kind is sought in vain.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)"
-    r"((?:[^>\"']++|\"[^\"]{0,4096}+\"|'[^']{0,4096}+'|[\"'])*+)>?", re.S)
+    r"((?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+|[\"'])*+)>?", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 
 #: Groups of attribute tokens; a token belongs to a group if a word of it is listed.
@@ -71,7 +73,9 @@ class _Masks(dict):
     def __missing__(self, attributes):
         if len(self) > 100_000:
             self.clear()
-        value = self[attributes] = _mask(attributes) if "=" in attributes else 0
+        value = _mask(attributes) if "=" in attributes else 0
+        if len(attributes) <= 1_000:
+            self[attributes] = value
         return value
 
 

@@ -161,3 +161,20 @@ def test_no_kept_element_below_a_dropped_one():
         page = html.Page(html.drill(rng, ["some words to fill the page with text"]), masks)
         keep = html.decode(page, rng.normal(0, 3, len(page.tags)))
         assert all(keep[p] or not keep[e] for e, p in enumerate(page.parents) if e)
+
+
+def test_attributes_are_read_whole_and_stray_quotes_alone():
+    def blocks(attributes):
+        page = html.Page(f'<div><img {attributes}><p class="a">one</p></div><article><p id=\'b\'>two</p>'
+                         "<p>it's \"three\"</p></article>", html._Masks())
+        return [text for _, text in page.blocks]
+
+    want = blocks("")
+    assert want == ["one", "two", "it's \"three\""]
+    for quote in "\"'":
+        for filling in ("A", "a>b <i> = "):
+            assert blocks(f"src = {quote}{filling * (100_000 // len(filling))}{quote}") == want
+    for stray in ("alt=don't", "it's", 'href=/?q="x', '"'):
+        assert blocks(stray) == want
+    never = html.Page("<p title=\"x>one</p><p>two</p>" + "<b a='>" + "<i a=" * 50_000, html._Masks())
+    assert [text for _, text in never.blocks] == ["one", "two"]
