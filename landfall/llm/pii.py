@@ -20,8 +20,6 @@ OTHER = "other"
 SAMPLE_DOCS = 8_000
 MAX_EXAMPLES = 1_500
 MAX_PARTS = 12
-#: Longer regions are cut after this many parts, at a part's border.
-MAX_REGION = 60
 EPOCHS = 4
 RATE = 0.25
 
@@ -90,8 +88,7 @@ def regions(text):
 
 
 def _parts(text, start, end):
-    cut = [m.span() for m in _PART.finditer(text, start, end)]
-    return [cut[i:i + MAX_REGION] for i in range(0, len(cut), MAX_REGION)]
+    return [m.span() for m in _PART.finditer(text, start, end)]
 
 
 def _shape(piece):
@@ -161,30 +158,32 @@ class SegmentField:
         return edges
 
     def decode(self, text, start, end):
-        """Best segmentation of a region: [(start, kind index, end)] of its entities."""
-        found = []
-        for cut in _parts(text, start, end):
-            edges = self._edges(len(cut), _lattice(text, cut, start, end))
-            best = [(0.0, None)] + [(-np.inf, None)] * len(cut)
-            for j in range(1, len(cut) + 1):
-                for i, kind, score, _ in edges[j]:
-                    if best[i][0] + score > best[j][0]:
-                        best[j] = (best[i][0] + score, (i, kind))
-            j = len(cut)
-            while j:
-                i, kind = best[j][1]
-                if kind != OTHER:
-                    found.append((cut[i][0], KINDS.index(kind), cut[j - 1][1]))
-                j = i
-        return sorted(found)
+        """Best segmentation of a region: [(start, kind index, end)] of its entities.
+
+        A region of any length is decoded as one, in time linear in its parts: segments come by
+        their ends, and only scores and one back pointer per part are kept.
+        """
+        cut = _parts(text, start, end)
+        best, back = [0.0] + [-np.inf] * len(cut), [None] * (len(cut) + 1)
+        for i, j, feats in _lattice(text, cut, start, end):
+            for kind, score in self._scores(feats, j - i == 1):
+                if best[i] + score > best[j]:
+                    best[j], back[j] = best[i] + score, (i, kind)
+        found, j = [], len(cut)
+        while j:
+            i, kind = back[j]
+            if kind != OTHER:
+                found.append((cut[i][0], KINDS.index(kind), cut[j - 1][1]))
+            j = i
+        return found[::-1]
 
     def fit(self, examples, epochs=EPOCHS, rate=RATE):
         """Gradient ascent on the conditional likelihood; ``examples``: (text, spans)."""
         squares, known = {}, []
         for text, spans in examples:
             for start, end in regions(text):
-                for cut in _parts(text, start, end):
-                    known.append((len(cut), list(_lattice(text, cut, start, end)), self._gold(cut, spans)))
+                cut = _parts(text, start, end)
+                known.append((len(cut), list(_lattice(text, cut, start, end)), self._gold(cut, spans)))
         for _ in range(epochs):
             for n, lattice, gold in known:
                 self._step(n, lattice, gold, squares, rate)

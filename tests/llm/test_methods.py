@@ -74,6 +74,15 @@ def test_added_spans_leave_base_spans_and_plain_numbers_alone(spark, documents):
         assert pii.all_spans(text, field) == ([], [])
 
 
+def test_a_long_list_of_numbers_is_found_like_one_alone(documents):
+    field = pii.fit_field(documents)
+    number = "(555) 123-4567"
+    assert pii.all_spans(f"call {number}, or", field)[1] == [(5, 3, 19)]
+    numbers = [f"(555) 123-{4000 + i}" for i in range(1000)]
+    text = "call " + ", ".join(numbers) + ", or"
+    assert pii.all_spans(text, field)[1] == [(5 + 16 * i, 3, 19 + 16 * i) for i in range(1000)]
+
+
 def test_near_copies_in_large_groups_equal_brute_force(spark):
     """Copies of one text edited independently, a passage in many texts, and exact copies."""
     rng = np.random.default_rng(2)
