@@ -6,6 +6,7 @@ programming over segments of bounded length chooses boundaries and kinds togethe
 """
 
 import re
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -283,18 +284,32 @@ def fit_field(docs, sample_docs=SAMPLE_DOCS, most=MAX_EXAMPLES):
     return SegmentField().fit([examples[i] for i in order])
 
 
+def _union(spans):
+    """Disjoint [start, end] of what sorted ``spans`` cover."""
+    out = []
+    for s, _, e in spans:
+        if out and s < out[-1][1]:
+            out[-1][1] = max(out[-1][1], e)
+        else:
+            out.append([s, e])
+    return out
+
+
 def all_spans(text, field):
     """(base spans, base and added spans). A segment that touches a base span adds nothing."""
     if not text:
         return [], []
     base = base_spans(text)
+    covered = _union(base)
+    starts, ends = [s for s, _ in covered], [e for _, e in covered]
     added = []
     for low, high in regions(text):
-        near = [(s, k, e) for s, k, e in base if s < high and e > low]
-        if sum(e - s for s, _, e in near) >= high - low - 1:
+        near = covered[bisect_right(ends, low):bisect_left(starts, high)]
+        if sum(min(e, high) - max(s, low) for s, e in near) >= high - low - 1:
             continue
         for s, k, e in field.decode(text, low, high):
-            if all(e <= bs or s >= be for bs, _, be in near):
+            at = bisect_right(ends, s)
+            if at == len(ends) or e <= starts[at]:
                 added.append((s, k, e))
     return base, sorted(base + added)
 

@@ -83,6 +83,12 @@ def test_a_long_list_of_numbers_is_found_like_one_alone(documents):
     assert pii.all_spans(text, field)[1] == [(5 + 16 * i, 3, 19 + 16 * i) for i in range(1000)]
 
 
+def test_overlapping_base_spans_do_not_hide_the_rest_of_a_region(documents):
+    text = "+378282246310005, (555) 123-4567"
+    base, spans = pii.all_spans(text, pii.fit_field(documents))
+    assert base == [(0, 3, 16), (1, 2, 16)] and spans == [*base, (18, 3, 32)]
+
+
 def test_near_copies_in_large_groups_equal_brute_force(spark):
     """Copies of one text edited independently, a passage in many texts, and exact copies."""
     rng = np.random.default_rng(2)
