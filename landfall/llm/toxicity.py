@@ -1,8 +1,8 @@
 """Toxicity: a factorization machine over hashed terms.
 
-Terms are a text's words and their beginnings, hashed. Class counts over all labelled documents
-choose the terms that tell the classes apart; the machine learns a weight and a factor vector for
-each, so that pairs of terms count beyond the sum of the two.
+Terms are a text's words and their beginnings, hashed into a fixed table; every word takes part.
+The machine learns a weight and a factor vector for each bucket, so that pairs of terms count beyond
+the sum of the two.
 """
 
 import re
@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from landfall.llm.common import remainder, sized, stored, unit_hash
 
-#: Documented bounds: terms of the machine, and expected training documents per class.
-TERMS = 4096
+#: Documented bounds: buckets of terms (the machine is 9 MB), expected training documents per class,
+#: and the bytes of their terms that reach the driver.
+BUCKET_BITS = 18
 SAMPLE_DOCS = 8_000
-LEAST_EVIDENCE = 20.0
+SAMPLE_BYTES = 128 * 1024 * 1024
 BEGINNINGS = (4, 5)
 FACTORS = 8
 EPOCHS = 12
@@ -27,11 +28,11 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def _hash(term):
-    return xxhash.xxh32_intdigest(term)
+    return xxhash.xxh32_intdigest(term) >> (32 - BUCKET_BITS)
 
 
 class _Terms(dict):
-    """word -> hashes of the word and of its beginnings"""
+    """word -> buckets of the word and of its beginnings"""
 
     def __missing__(self, word):
         if len(self) > CACHE_WORDS:
@@ -42,7 +43,7 @@ class _Terms(dict):
 
 
 def terms_of(text, cache):
-    """Sorted distinct term hashes of a whole text; none for NULL."""
+    """Sorted distinct term buckets of a whole text; none for NULL."""
     if not text:
         return np.empty(0, np.int64)
     found = set()
@@ -57,32 +58,13 @@ def _slices(batches, rows=256):
             yield batch.slice(at, rows)
 
 
-def _count(batches):
+def _index(batches):
     cache = _Terms()
-    for batch in _slices(batches, 2048):
-        sums = {}
-        for label in (0, 1):
-            texts = batch.filter(pa.compute.equal(batch.column("toxic"), label)).column("text").to_pylist()
-            sets = [terms_of(t, cache) for t in texts]
-            sums[label] = np.unique(np.concatenate(sets or [np.empty(0, np.int64)]), return_counts=True)
-        both = np.union1d(sums[0][0], sums[1][0])
-        counts = []
-        for label in (0, 1):
-            n = np.zeros(len(both), np.int64)
-            n[np.searchsorted(both, sums[label][0])] = sums[label][1]
-            counts.append(pa.array(n))
-        yield pa.RecordBatch.from_arrays([pa.array(both), *counts], names=["term", "clean", "toxic"])
-
-
-def _indexed(texts, known, cache):
-    """Positions in the sorted array ``known`` of the terms of each text."""
-    out = []
-    for text in texts:
-        terms = terms_of(text, cache)
-        at = np.searchsorted(known, terms)
-        at = np.minimum(at, len(known) - 1)
-        out.append(at[known[at] == terms] if len(known) else at[:0])
-    return out
+    for batch in _slices(batches):
+        at = [terms_of(t, cache).astype("<i4").tobytes() for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("toxic"), pa.array(at, pa.binary())],
+            names=["doc_id", "toxic", "at"])
 
 
 def _ragged(arrays):
@@ -91,6 +73,11 @@ def _ragged(arrays):
     return flat, np.repeat(np.arange(len(arrays)), sizes)
 
 
+def _added(owner, rows, n):
+    """Sums of ``rows`` by their ``owner``."""
+    return np.stack([np.bincount(owner, column, n) for column in rows.T], axis=1)
+
+
 class FactorizationMachine:
     """score = bias + sum of weights + sum over pairs of the products of their factors"""
 
@@ -102,31 +89,35 @@ class FactorizationMachine:
     def raw(self, arrays):
         flat, owner = _ragged(arrays)
         linear = np.bincount(owner, self.weights[flat], len(arrays))
-        sums = np.zeros((len(arrays), FACTORS))
-        np.add.at(sums, owner, self.factors[flat])
-        squares = np.bincount(owner, (self.factors[flat] ** 2).sum(axis=1), len(arrays))
+        factors = self.factors[flat]
+        sums = _added(owner, factors, len(arrays))
+        squares = np.bincount(owner, np.einsum("ij,ij->i", factors, factors), len(arrays))
         return self.bias + linear + 0.5 * ((sums ** 2).sum(axis=1) - squares), flat, owner, sums
 
     def fit(self, arrays, labels, importance, epochs=EPOCHS, rate=0.1, ridge=1e-4, size=256, seed=11):
         rng = np.random.default_rng(seed)
         past = [1.0, np.ones(len(self.weights)), np.ones(self.factors.shape)]
+        place = np.zeros(len(self.weights), np.int64)
         for _ in range(epochs):
             order = rng.permutation(len(arrays))
             for at in range(0, len(order), size):
                 rows = order[at:at + size]
                 z, flat, owner, sums = self.raw([arrays[i] for i in rows])
                 error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[rows]) * importance[rows] / 8
-                weights = np.bincount(flat, error[owner], len(self.weights)).astype(float)
-                factors = np.zeros(self.factors.shape)
-                np.add.at(factors, flat, error[owner, None] * (sums[owner] - self.factors[flat]))
-                seen = np.bincount(flat, minlength=len(self.weights)) > 0
-                weights += ridge * self.weights * seen
-                factors += ridge * self.factors * seen[:, None]
-                for i, g in enumerate((error.sum(), weights, factors)):
-                    past[i] = past[i] + g * g
+                # Only buckets that occur in the batch move.
+                seen = np.flatnonzero(np.bincount(flat, minlength=len(self.weights)))
+                place[seen] = np.arange(len(seen))
+                local = place[flat]
+                weights = np.bincount(local, error[owner], len(seen))
+                factors = _added(local, error[owner, None] * (sums[owner] - self.factors[flat]), len(seen))
+                weights += ridge * self.weights[seen]
+                factors += ridge * self.factors[seen]
+                past[0] += error.sum() ** 2
+                past[1][seen] += weights ** 2
+                past[2][seen] += factors ** 2
                 self.bias -= rate * error.sum() / np.sqrt(past[0])
-                self.weights -= rate * weights / np.sqrt(past[1])
-                self.factors -= rate * factors / np.sqrt(past[2])
+                self.weights[seen] -= rate * weights / np.sqrt(past[1][seen])
+                self.factors[seen] -= rate * factors / np.sqrt(past[2][seen])
         return self
 
 
@@ -143,53 +134,43 @@ def labelled_texts(spark, docs, labels):
         "doc_id", "toxic", "text"), known
 
 
-def fit(spark, docs, labels, terms=TERMS, sample_docs=SAMPLE_DOCS):
-    """(sorted term hashes, machine), or None without labels of both classes.
+def fit(spark, docs, labels, sample_docs=SAMPLE_DOCS, sample_bytes=SAMPLE_BYTES):
+    """The machine over all buckets, or None without labels of both classes.
 
-    Counts cover all labelled documents; the ``terms`` with the strongest evidence (likelihood
-    ratio) and an expected ``sample_docs`` documents of each class, by a hash, reach the driver.
+    An expected ``sample_docs`` documents of each class, by a hash, reach the driver as the buckets of
+    all their terms; fewer, by the same hash, if these take more than ``sample_bytes``.
     """
     rows, known = labelled_texts(spark, docs, labels)
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return None
-    counts = rows.select("toxic", "text").mapInArrow(_count, "term long, clean long, toxic long")
-    counts = counts.groupBy("term").agg(F.sum("clean").alias("a"), F.sum("toxic").alias("b")).where("a + b >= 3")
-    share = sizes[1] / (sizes[0] + sizes[1])
-    n = F.col("a") + F.col("b")
-
-    def part(seen, expected):
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
-
-    evidence = 2 * (part(F.col("a"), n * (1 - share)) + part(F.col("b"), n * share))
-    best = counts.select("term", evidence.alias("g")).where(F.col("g") >= LEAST_EVIDENCE)
-    best = best.orderBy(F.desc("g"), "term").limit(terms).collect()
-    known_terms = np.array(sorted(r["term"] for r in best), np.int64)
     rate = F.when(F.col("toxic") == 1, sample_docs / sizes[1]).otherwise(sample_docs / sizes[0])
-
-    def index(batches):
-        cache = _Terms()
-        for batch in _slices(batches):
-            found = _indexed(batch.column("text").to_pylist(), known_terms, cache)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"),
-                 pa.array([a.tolist() for a in found], pa.list_(pa.int32()))], names=["doc_id", "toxic", "at"])
-
-    sample = rows.where(unit_hash("doc_id", F.lit(9)) < rate).mapInArrow(
-        index, "doc_id long, toxic int, at array<int>").limit(3 * sample_docs).collect()
-    sample.sort(key=lambda r: (r["doc_id"], len(r["at"])))
+    chance = unit_hash("doc_id", F.lit(9))
+    sample = stored(spark, rows.where(chance < rate).mapInArrow(
+        _index, "doc_id long, toxic int, at binary"), "sample")
+    taken = sample.agg(F.coalesce(F.sum(F.octet_length("at") + 64), F.lit(0)).alias("b")).first()["b"]
+    if taken > sample_bytes:
+        sample = sample.where(chance < F.least(rate, F.lit(1.0)) * (sample_bytes / taken))
+    sample = sample.limit(3 * sample_docs).collect()
+    sample.sort(key=lambda r: (r["doc_id"], bytes(r["at"])))
     truth = np.array([r["toxic"] for r in sample], float)
     if not 0 < truth.sum() < len(truth):
         return None
     even = np.where(truth == 1, len(truth) / (2 * truth.sum()), len(truth) / (2 * (len(truth) - truth.sum())))
-    arrays = [np.array(r["at"], int) for r in sample]
-    return known_terms, FactorizationMachine(len(known_terms)).fit(arrays, truth, even)
+    arrays = [np.frombuffer(r["at"], "<i4") for r in sample]
+    machine = FactorizationMachine(1 << BUCKET_BITS).fit(arrays, truth, even)
+    # Buckets never learned from say nothing, alone or in pairs.
+    unseen = np.ones(1 << BUCKET_BITS, bool)
+    unseen[np.concatenate(arrays)] = False
+    machine.factors[unseen] = 0.0
+    machine.weights, machine.factors = machine.weights.astype(np.float32), machine.factors.astype(np.float32)
+    return machine
 
 
 def score(spark, docs, labels):
     """doc_id, held_out, score and predicted for every row of ``docs``, over whole texts.
 
-    Texts that are NULL or empty, or share no term with the machine, get its bias alone; without
+    Texts that are NULL or empty, or share no term with the learned ones, get its bias alone; without
     labels of both classes every score is 0. Rows without doc_id are not held out. Repeated rows
     get equal scores; other columns play no part.
     """
@@ -201,9 +182,8 @@ def score(spark, docs, labels):
         for batch in _slices(batches, 512):
             scores = np.zeros(batch.num_rows)
             if shared.value:
-                terms, machine = shared.value
-                arrays = _indexed(batch.column("text").to_pylist(), terms, cache)
-                scores = 1 / (1 + np.exp(-np.clip(machine.raw(arrays)[0], -30, 30)))
+                arrays = [terms_of(t, cache) for t in batch.column("text").to_pylist()]
+                scores = 1 / (1 + np.exp(-np.clip(shared.value.raw(arrays)[0], -30, 30)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(scores)],
                 names=["doc_id", "held_out", "score"])

@@ -40,6 +40,23 @@ def test_toxicity_learns_word_beginnings_and_pairs(spark):
     assert all(r["predicted"] == int(r["doc_id"] % 5 == 0) for r in got) and len(got) > 200
 
 
+def test_toxicity_learns_pairs_of_balanced_words(spark):
+    """Toxic is one of two words exactly with its partner: no word alone says anything."""
+    rng = np.random.default_rng(4)
+    plain = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}w" for i in range(300)]
+    rows, labels = [], []
+    for i in range(4000):
+        a, b = (i // 5) % 2, (i // 10) % 2
+        words = [*rng.choice(plain, 4), ("qua", "qub")[a], ("zoa", "zob")[b]]
+        rows.append((i, " ".join(rng.permutation(words))))
+        labels.append((i, int(a == b)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = toxicity.score(spark, docs, known).where("held_out").collect()
+    truth = dict(labels)
+    assert len(got) > 600 and sum(r["predicted"] == truth[r["doc_id"]] for r in got) >= 0.95 * len(got)
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
