@@ -39,9 +39,9 @@ def personal_data(spark, docs, sf_dir):
 
 
 def mix_sources(spark, docs, sf_dir):
-    """The mix: a row for every copy taken, with doc_id, copy, size and the source's target."""
-    return mixing.emit(mixing.mix(spark, docs)).select(
-        "doc_id", "copy", "source", "size", "source_size", "target")
+    """The mix: the whole document for every copy taken, with copy, size and the source's target."""
+    return mixing.emit(mixing.mix(spark, docs, keep=None)).select(
+        *docs.columns, "copy", "size", "source_size", "target")
 
 
 STAGES = [

@@ -59,30 +59,36 @@ def source_targets(sizes, weights=WEIGHTS, share=SHARE, most=MOST_REPEATS):
     )
 
 
-def mix(spark, docs, weights=WEIGHTS, share=SHARE, most=MOST_REPEATS, seed=17):
+def mix(spark, docs, weights=WEIGHTS, share=SHARE, most=MOST_REPEATS, seed=17, keep=("doc_id", "source")):
     """Every document with the number of copies that the mix takes of it.
 
-    Returns doc_id, size, source, source_size, target, copies. A document of a source with
+    Returns the columns of ``docs`` named in ``keep`` (all with None; their names must then not be
+    size, source_size, target, copies or copy), size, source_size, target, copies. A document of a source with
     rate r has floor(r) copies and one more with probability r - floor(r), drawn from a hash
     of its doc_id and ``seed``, so reruns and repeated rows agree. NULL text has size 0;
     NULL sources form one source, last in order; an empty table gives no rows.
-    Only doc_id, source and the word count leave the scan; the text is not shuffled.
+    Sources are added up from source and word count alone; their rates are broadcast to the
+    documents (if small), so the text is not shuffled.
     """
-    counted = docs.select("doc_id", "source", words_of(F.col("text")).alias("size"))
-    counted = stored(spark, counted, "sizes")
+    kept = [c for c in docs.columns if keep is None or c in keep]
+    clash = {"size", "source_size", "target", "copies", "copy"} & set(kept)
+    if clash:
+        raise ValueError(f"columns with names of the mix: {sorted(clash)}")
+    size = words_of(F.col("text")).alias("size")
+    counted = stored(spark, docs.select("doc_id", "source", size), "sizes")
     sizes = counted.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = stored(spark, source_targets(sizes, weights, share, most), "targets")
     small = sized(targets, F.coalesce(F.octet_length("source"), F.lit(0)) + 64)
-    rate = F.col("rate")
-    return (
-        counted.join(small.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
-        .withColumn("copies", (F.floor(rate) + (drawn("doc_id", seed) < rate - F.floor(rate))
-                               .cast("int")).cast("int"))
-        .select("doc_id", "source", "size", "source_size", "target", "copies")
-    )
+    if keep is None:
+        counted = docs.select("doc_id", "source", size, F.struct(*kept).alias("kept"))
+    rate = F.col("of.rate")
+    copies = (F.floor(rate) + (drawn("doc_id", seed) < rate - F.floor(rate)).cast("int")).cast("int")
+    return counted.join(
+        small.select(F.struct("*").alias("of")), F.col("source").eqNullSafe(F.col("of.source"))
+    ).select(*(["kept.*"] if keep is None else kept), "size", "of.source_size", "of.target", copies.alias("copies"))
 
 
 def emit(mixed):
-    """One row per copy: doc_id, copy (from 1) and the other columns of ``mix``."""
+    """One row per copy: the columns of ``mix``, and copy (from 1)."""
     copies = F.when(F.col("copies") > 0, F.sequence(F.lit(1), F.col("copies")))
     return mixed.select("*", F.explode(copies).alias("copy"))

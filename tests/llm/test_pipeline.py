@@ -29,3 +29,17 @@ def test_stages(spark):
     assert five.agg(F.max("copy")).first()[0] <= 2
     whole = corpus_pipeline.run(spark, SF)
     assert sorted(whole.collect()) == sorted(five.collect())
+
+
+def test_the_mix_holds_whole_documents(spark):
+    """Also those that cannot be told apart by doc_id: every row comes as often as it has copies."""
+    rows = [(None, "a b c", "x", 5), (None, "d e", "x", 3), (7, "f g h i", "y", 7), (7, "j", "y", 1),
+            (8, None, None, 0), (9, "k l", None, 3)] + [(i, f"word {i}", "xy"[i % 2], 7) for i in range(20, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int")
+    mixed = corpus_pipeline.mix_sources(spark, docs, SF)
+    assert mixed.columns == [*docs.columns, "copy", "size", "source_size", "target"]
+    got = sorted(map(str, mixed.select(*docs.columns).collect()))
+    assert len(set(got)) > 20
+    taken = {(r["doc_id"], r["source"], r["size"]): r["copies"] for r in corpus_pipeline.mixing.mix(spark, docs).collect()}
+    want = [r for r in docs.collect() for _ in range(taken[r["doc_id"], r["source"], len((r["text"] or "").split())])]
+    assert got == sorted(map(str, want))
