@@ -20,6 +20,10 @@ from landfall.llm.common import remainder, sized, stored, unit_hash
 BUCKET_BITS = 18
 SAMPLE_DOCS = 8_000
 SAMPLE_BYTES = 128 * 1024 * 1024
+#: Buckets with less evidence (likelihood ratio) of their own learn at this share of the rate, so that the
+#: many chance words of a text do not stand in for those that tell the classes apart.
+LEAST_EVIDENCE = 20.0
+SLOW = 0.03
 BEGINNINGS = (4, 5)
 FACTORS = 8
 EPOCHS = 12
@@ -78,6 +82,17 @@ def _added(owner, rows, n):
     return np.stack([np.bincount(owner, column, n) for column in rows.T], axis=1)
 
 
+def _paces(arrays, labels):
+    """Shares of the learning rate: 1 for buckets with evidence of their own, else ``SLOW``."""
+    counts = [np.bincount(np.concatenate([x for x, y in zip(arrays, labels) if y == label]),
+                          minlength=1 << BUCKET_BITS) for label in (0, 1)]
+    both, share = counts[0] + counts[1], labels.mean()
+    evidence = np.zeros(1 << BUCKET_BITS)
+    for seen, part in zip(counts, (1 - share, share)):
+        evidence += 2 * seen * np.log(np.maximum(seen, 1) / np.maximum(both * part, 1e-9))
+    return np.where((evidence >= LEAST_EVIDENCE) & (both >= 3), 1.0, SLOW)
+
+
 class FactorizationMachine:
     """score = bias + sum of weights + sum over pairs of the products of their factors"""
 
@@ -94,7 +109,7 @@ class FactorizationMachine:
         squares = np.bincount(owner, np.einsum("ij,ij->i", factors, factors), len(arrays))
         return self.bias + linear + 0.5 * ((sums ** 2).sum(axis=1) - squares), flat, owner, sums
 
-    def fit(self, arrays, labels, importance, epochs=EPOCHS, rate=0.1, ridge=1e-4, size=256, seed=11):
+    def fit(self, arrays, labels, importance, paces, epochs=EPOCHS, rate=0.1, ridge=1e-4, size=256, seed=11):
         rng = np.random.default_rng(seed)
         past = [1.0, np.ones(len(self.weights)), np.ones(self.factors.shape)]
         place = np.zeros(len(self.weights), np.int64)
@@ -106,6 +121,7 @@ class FactorizationMachine:
                 error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[rows]) * importance[rows] / 8
                 # Only buckets that occur in the batch move.
                 seen = np.flatnonzero(np.bincount(flat, minlength=len(self.weights)))
+                pace = rate * paces[seen]
                 place[seen] = np.arange(len(seen))
                 local = place[flat]
                 weights = np.bincount(local, error[owner], len(seen))
@@ -116,8 +132,8 @@ class FactorizationMachine:
                 past[1][seen] += weights ** 2
                 past[2][seen] += factors ** 2
                 self.bias -= rate * error.sum() / np.sqrt(past[0])
-                self.weights[seen] -= rate * weights / np.sqrt(past[1][seen])
-                self.factors[seen] -= rate * factors / np.sqrt(past[2][seen])
+                self.weights[seen] -= pace * weights / np.sqrt(past[1][seen])
+                self.factors[seen] -= pace[:, None] * factors / np.sqrt(past[2][seen])
         return self
 
 
@@ -158,7 +174,7 @@ def fit(spark, docs, labels, sample_docs=SAMPLE_DOCS, sample_bytes=SAMPLE_BYTES)
         return None
     even = np.where(truth == 1, len(truth) / (2 * truth.sum()), len(truth) / (2 * (len(truth) - truth.sum())))
     arrays = [np.frombuffer(r["at"], "<i4") for r in sample]
-    machine = FactorizationMachine(1 << BUCKET_BITS).fit(arrays, truth, even)
+    machine = FactorizationMachine(1 << BUCKET_BITS).fit(arrays, truth, even, _paces(arrays, truth))
     # Buckets never learned from say nothing, alone or in pairs.
     unseen = np.ones(1 << BUCKET_BITS, bool)
     unseen[np.concatenate(arrays)] = False
