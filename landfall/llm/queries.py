@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from landfall.llm import chat, decontam, html, langid, mixing, neardup, pii, topk, toxicity, warc
+from landfall.llm import chat, decontam, divergence, html, langid, mixing, neardup, pii, topk, toxicity, warc
 
 QUERIES = {}
 CHECKS = {}
@@ -210,6 +210,48 @@ JOIN (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END A
 """
 
 
+@query
+def op11_source_divergence(spark, sf_dir):
+    return divergence.audit(spark, load(spark, sf_dir, "documents"))
+
+
+CHECKS["op11_source_divergence"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+e AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+g AS (SELECT DISTINCT lang, source FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM e GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+c AS (
+  SELECT g.lang, g.source, k.term, coalesce(x.n, 0) AS n, k.n AS lang_n
+  FROM g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM e GROUP BY lang, source, term) x
+    ON x.lang = g.lang AND x.source = g.source AND x.term = k.term),
+s AS (
+  SELECT lang, source, term, n,
+    1 + (1000000000 * CAST(n + 2 AS HUGEINT)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p,
+    1 + (1000000000 * CAST(lang_n + 2 AS HUGEINT)) // (total + 2 * v) AS q
+  FROM c JOIN l USING (lang)),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(x.value, 0) AS value
+  FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM s a JOIN s b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source
+    GROUP BY ALL) x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pair
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM s WHERE n > 0 AND p > q)
+SELECT * FROM (
+  SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+    CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM ranked)
+WHERE part = 'pair' OR rank <= 10
+"""
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline
