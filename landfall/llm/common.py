@@ -1,5 +1,6 @@
 """Helpers shared by the training-data operators."""
 
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from landfall.session import scratch_dir
@@ -41,6 +42,18 @@ def slices(batches, rows=256):
             yield batch.slice(at, rows)
 
 
+def text_slices(batches, rows=256, size=1 << 22):
+    """The same, cut also where texts add up to ``size`` bytes; a longer text stands alone."""
+    for batch in slices(batches, rows):
+        start = held = 0
+        for i, n in enumerate(pc.binary_length(batch.column("text")).to_pylist()):
+            if held and held + (n or 0) > size:
+                yield batch.slice(start, i - start)
+                start, held = i, 0
+            held += n or 0
+        yield batch.slice(start)
+
+
 def unit_hash(*columns):
     """A number in [0, 1) that depends only on the values."""
     return (F.shiftrightunsigned(F.xxhash64(*columns), 11)).cast("double") / F.lit(float(1 << 53))

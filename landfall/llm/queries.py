@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from landfall.llm import chat, decontam, divergence, html, langid, mixing, neardup, pii, topk, toxicity, warc
+from landfall.llm import (
+    alignment, chat, decontam, divergence, html, langid, mixing, neardup, packing, pii, topk, toxicity, warc,
+)
 
 QUERIES = {}
 CHECKS = {}
@@ -19,6 +21,13 @@ def load(spark, sf_dir, table):
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def tokenizer(name):
+    """Path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query
 def op1_topk_search(spark, sf_dir):
     return topk.top_k(spark, load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -252,6 +261,17 @@ WHERE part = 'pair' OR rank <= 10
 """
 
 
+@query
+def op12_best_fit_packing(spark, sf_dir):
+    return packing.digests(packing.pack(spark, load(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json")))
+
+
+@query
+def op13_cross_tokenizer(spark, sf_dir):
+    return alignment.agreement(
+        spark, load(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline
