@@ -2,7 +2,10 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import Window
+from typing import NamedTuple
+
+import numpy as np
+from pyspark.sql import Observation, Window
 from pyspark.sql import functions as F
 
 from landfall import schemas
@@ -64,6 +67,18 @@ def drop_high_null_columns(df, thresh=0.7):
     return df.drop(*[F.col(quoted(c)) for c in flagged])
 
 
+def missing_counts(df):
+    """{name: aggregate}: the missing values of every column, to be measured while ``df`` is written."""
+    return {f"missing_{i}": missing_count(df, c) for i, c in enumerate(df.columns)}
+
+
+def sparse_columns(columns, measured, thresh):
+    """Those of ``columns`` whose rounded missing ratio exceeds ``thresh``, by what a write has measured."""
+    rows = measured["rows"]
+    return [c for i, c in enumerate(columns)
+            if rows and np.rint(measured[f"missing_{i}"] / rows * 1000) / 1000 > thresh]
+
+
 def clean(subset=None, drop_cols=False, thresh=0.7, staging=None):
     """For ``df.transform``: empty rows, then duplicates, then sparse columns.
 
@@ -82,23 +97,80 @@ def clean(subset=None, drop_cols=False, thresh=0.7, staging=None):
     return apply
 
 
+class FlowCount(NamedTuple):
+    """rows_read = rows_emptied + rows_repeated + rows_kept."""
+
+    dataset: str
+    rows_read: int
+    rows_emptied: int
+    rows_repeated: int
+    rows_kept: int
+
+
+FLOW_SCHEMA = "dataset string, rows_read long, rows_emptied long, rows_repeated long, rows_kept long"
+
+
+class RowFlow:
+    """Counts where a rule's rows go, inside the one plan that cleans and writes them.
+
+    Pass it to a ``CleanRule`` and let an action run the plan; ``counts`` then waits for the numbers.
+    Rows read, and those without a required value, are counted before the first step; rows left
+    after each step behind it.
+    """
+
+    def __init__(self, dataset):
+        self.dataset = dataset
+        self._seen = {}
+
+    def _observe(self, df, name, *columns):
+        self._seen[name] = Observation()
+        return df.observe(self._seen[name], F.count(F.lit(1)).alias("rows"), *columns)
+
+    def read(self, df, required):
+        present = F.lit(False)
+        for c in required or df.columns:
+            present = present | is_present(df, c)
+        return self._observe(df, "read", F.count_if(~present).alias("emptied"))
+
+    def present(self, df):
+        return self._observe(df, "present")
+
+    def kept(self, df):
+        return self._observe(df, "kept")
+
+    def counts(self):
+        """The ``FlowCount``; None if no rule was observed."""
+        if len(self._seen) < 3:
+            return None
+        read, present, kept = (self._seen[n].get for n in ("read", "present", "kept"))
+        return FlowCount(self.dataset, read["rows"], read["emptied"], present["rows"] - kept["rows"], kept["rows"])
+
+
 @dataclass(frozen=True)
 class CleanRule:
     """Columns to drop, columns of which one must be present, and the row key.
 
     ``first_by`` orders the rows of a key before all other columns do, so that the kept row's
-    values in these columns do not depend on which further columns were read.
+    values in these columns do not depend on which further columns were read. ``thresh`` is for
+    jobs: columns whose rounded missing ratio after cleaning exceeds it are sparse and emptied.
     """
 
     drop_cols: tuple = ()
     required: tuple | None = None
     keys: tuple | None = None
     first_by: tuple = ()
+    thresh: float | None = None
 
-    def __call__(self, df):
+    def __call__(self, df, flow=None):
+        required = list(self.required) if self.required else None
         df = df.drop(*self.drop_cols)
-        df = drop_empty_rows(df, list(self.required) if self.required else None)
-        return drop_duplicate_rows(df, list(self.keys) if self.keys else None, self.first_by)
+        if flow:
+            df = flow.read(df, required)
+        df = drop_empty_rows(df, required)
+        if flow:
+            df = flow.present(df)
+        df = drop_duplicate_rows(df, list(self.keys) if self.keys else None, self.first_by)
+        return flow.kept(df) if flow else df
 
 
 # The documented cleaning keys of each dataset.

@@ -32,3 +32,9 @@ def lookup_join(df, lookup, on, how="left", limit=BROADCAST_LIMIT, computed=Fals
         lookup = stage_parquet(lookup, scratch_dir(lookup.sparkSession, "lookup"))
     small = payload_bytes(lookup) <= limit
     return df.join(F.broadcast(lookup) if small else lookup, on, how)
+
+
+def sized_semi_join(df, wanted, on, limit=BROADCAST_LIMIT):
+    """The rows of ``df`` whose ``on`` occurs in ``wanted``, which is broadcast only if it is small."""
+    small = payload_bytes(wanted) <= limit
+    return df.join(F.broadcast(wanted) if small else wanted, on, "left_semi")

@@ -51,13 +51,23 @@ def read_csv(spark, path, schema=None, sep=",", mode="FAILFAST"):
     )
 
 
-def csv_malformed(spark, path, schema, sep=","):
-    """One row: ``rows`` of the files, and how many of them break the contract."""
+def csv_lines(spark, path, schema, sep=","):
+    """(rows, name of a further column): all rows of a CSV source, broken ones included.
+
+    The further column holds the text of a line that breaks the contract, and NULL for the others.
+    """
     bad = fresh("_malformed", spark.createDataFrame([], schema))
     lines = (
         _csv(spark, sep, "PERMISSIVE").schema(T.StructType([*schema.fields, T.StructField(bad, T.StringType())]))
-        .option("columnNameOfCorruptRecord", bad).option("columnPruning", False).csv(path)
+        .option("enforceSchema", False).option("columnNameOfCorruptRecord", bad).option("columnPruning", False)
+        .csv(path)
     )
+    return lines, bad
+
+
+def csv_malformed(spark, path, schema, sep=","):
+    """One row: ``rows`` of the files, and how many of them break the contract."""
+    lines, bad = csv_lines(spark, path, schema, sep)
     # Spark parses only the columns that a plan names, so the test names them all.
     text = F.concat_ws("", *[F.col(quoted(c)).cast("string") for c in schema.names]) != "\0"
     return lines.agg(

@@ -4,30 +4,52 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 
-def _counted(df):
+def _counted(df, measures=None):
     seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    named = [column.alias(name) for name, column in (measures or {}).items()]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *named), seen
+
+
+def write_measured(df, path, measures=None, partitions=(), sorted_by=()):
+    """Replace the dataset at ``path``; a dict of ``rows`` and the aggregates ``measures``.
+
+    They are computed over the rows on their way into the files, without another pass. The files of
+    a partitioned dataset are sorted by ``sorted_by``, so that their statistics narrow a search.
+    """
+    if partitions:
+        writer, seen = _partition_writer(df, partitions, measures, sorted_by)
+        writer.option("partitionOverwriteMode", "static").parquet(path)
+    else:
+        counted, seen = _counted(df, measures)
+        counted.write.mode("overwrite").parquet(path)
+    return dict(seen.get)
+
+
+def write_split(df, path, column, measures=None):
+    """Replace the dataset at ``path``, split by a column of few values, in the tasks that made the rows."""
+    counted, seen = _counted(df, measures)
+    counted.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(column).parquet(path)
+    return dict(seen.get)
 
 
 def write_table(df, path):
     """Replace the whole dataset at ``path``."""
-    counted, seen = _counted(df)
-    counted.write.mode("overwrite").parquet(path)
-    return seen.get["rows"]
+    return write_measured(df, path)["rows"]
 
 
-def _partition_writer(df, columns):
+def _partition_writer(df, columns, measures=None, sorted_by=()):
     # Rebalancing groups rows by the partition columns to avoid many small files, but
     # adaptive execution still splits a partition that is far larger than the others.
-    counted, seen = _counted(df.hint("rebalance", *columns))
+    df = df.hint("rebalance", *columns)
+    if sorted_by:
+        df = df.sortWithinPartitions(*columns, *sorted_by)
+    counted, seen = _counted(df, measures)
     return counted.write.mode("overwrite").partitionBy(*columns), seen
 
 
 def write_partitioned(df, path, columns):
     """Replace the whole dataset, split by ``columns``."""
-    writer, seen = _partition_writer(df, columns)
-    writer.option("partitionOverwriteMode", "static").parquet(path)
-    return seen.get["rows"]
+    return write_measured(df, path, partitions=columns)["rows"]
 
 
 def refresh_partitions(df, path, columns):
