@@ -20,7 +20,12 @@ KINDS = ("email", "ip", "card", "phone")
 OTHER = "other"
 SAMPLE_DOCS = 8_000
 MAX_EXAMPLES = 1_500
+#: A span has at most so many parts and characters, holds a digit or an at sign, and cuts no run of
+#: letters and digits.
 MAX_PARTS = 12
+MAX_SPAN = 320
+#: Segments whose scores a task remembers.
+KNOWN_SEGMENTS = 100_000
 EPOCHS = 4
 RATE = 0.25
 
@@ -30,8 +35,10 @@ _HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_PART = re.compile(r"[0-9]+|[A-Za-z]+|[^\sA-Za-z0-9]| ")
-_REGION = re.compile(r"[^\s0-9@]*+[0-9@]\S*+(?: [^\s0-9@]*+[0-9@]\S*+)*+")
+_PART = re.compile(r"[0-9]+|[A-Za-z]+|[^\W\d_]+|[^\s]| ")
+#: Begins only where a token does, so a long token without a digit is walked once.
+_REGION = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?: [^\s0-9@]*+[0-9@]\S*+)*+")
+_NUMBER = re.compile(r"[0-9]+")
 _DIGIT = re.compile(r"[0-9@]")
 
 
@@ -117,27 +124,39 @@ def segment_features(text, start, end, low, high):
         out.append("address")
     if len(groups) == 4 and piece.count(".") == 3:
         parts = piece.split(".")
-        out.append("octets" if all(p.isdigit() and int(p[:6]) <= 255 for p in parts) else "no octets")
+        out.append("octets" if all(_NUMBER.fullmatch(p) and int(p[:6]) <= 255 for p in parts) else "no octets")
     if 14 <= n <= 19:
         out.append("luhn" if luhn(digits) else "no luhn")
     if 10 <= n <= 15 and re.fullmatch(r"[+(]?[0-9][ ().0-9-]+[0-9]", piece):
         out.append("dialled")
         if groups[-2:] == [3, 4]:
             out.append("ends 3-4")
-        if groups[-3:] == [3, 3, 4] and not piece.isdigit():
+        if groups[-3:] == [3, 3, 4] and not _NUMBER.fullmatch(piece):
             out.append("ends 3-3-4")
     if any(c.isalpha() for c in piece) and "@" not in piece:
         out.append("letters")
     return out
 
 
-def _lattice(text, cut, low, high):
-    """(i, j, features) of all segments; one part may be of any kind, longer ones are entities."""
+def _lattice(text, cut):
+    """(i, j) of all segments that may be an entity, by their ends."""
+    marks = np.cumsum([0, *(_DIGIT.search(text, s, e) is not None for s, e in cut)]).tolist()
+    # Parts at whose beginning a segment may begin.
+    free = [s for s, (at, _) in enumerate(cut)
+            if text[at] != " " and not (text[at].isalnum() and text[at - 1:at].isalnum())]
+    at = 0
     for j in range(1, len(cut) + 1):
-        for i in range(max(0, j - MAX_PARTS), j):
-            if j - i > 1 and (text[cut[i][0]] == " " or text[cut[j - 1][0]] == " "):
-                continue
-            yield i, j, segment_features(text, cut[i][0], cut[j - 1][1], low, high)
+        end = cut[j - 1][1]
+        if marks[j] == marks[max(0, j - MAX_PARTS)] or text[end - 1] == " " or (
+                text[end - 1].isalnum() and text[end:end + 1].isalnum()):
+            continue
+        while at < len(free) and free[at] < j - MAX_PARTS:
+            at += 1
+        for i in free[at:at + MAX_PARTS]:
+            if i >= j or marks[j] == marks[i]:
+                break
+            if end - cut[i][0] <= MAX_SPAN:
+                yield i, j
 
 
 class SegmentField:
@@ -145,16 +164,27 @@ class SegmentField:
 
     def __init__(self, weights=None):
         self.weights = weights or {}
+        self._known = {}
 
-    def _scores(self, feats, single):
+    def _scores(self, feats):
         w = self.weights
-        out = [(k, sum(w.get((k, f), 0.0) for f in feats)) for k in KINDS]
-        return out + [(OTHER, w.get((OTHER, "part"), 0.0))] if single else out
+        return [sum(w.get((k, f), 0.0) for f in feats) for k in KINDS]
+
+    def _segment(self, text, start, end, low, high):
+        """Scores of a segment by kind, remembered by all that its features look at."""
+        key = text[start - 1:start], text[start:end], text[end:end + 1], end < high
+        scores = self._known.get(key)
+        if scores is None:
+            if len(self._known) >= KNOWN_SEGMENTS:
+                self._known.clear()
+            scores = self._known[key] = self._scores(segment_features(text, start, end, low, high))
+        return scores
 
     def _edges(self, n, lattice):
-        edges = [[] for _ in range(n + 1)]
+        other = self.weights.get((OTHER, "part"), 0.0)
+        edges = [[]] + [[(j, OTHER, other, ("part",))] for j in range(n)]
         for i, j, feats in lattice:
-            for kind, score in self._scores(feats, j - i == 1):
+            for kind, score in zip(KINDS, self._scores(feats)):
                 edges[j].append((i, kind, score, feats))
         return edges
 
@@ -165,16 +195,23 @@ class SegmentField:
         their ends, and only scores and one back pointer per part are kept.
         """
         cut = _parts(text, start, end)
-        best, back = [0.0] + [-np.inf] * len(cut), [None] * (len(cut) + 1)
-        for i, j, feats in _lattice(text, cut, start, end):
-            for kind, score in self._scores(feats, j - i == 1):
-                if best[i] + score > best[j]:
-                    best[j], back[j] = best[i] + score, (i, kind)
+        other = self.weights.get((OTHER, "part"), 0.0)
+        best, back = [0.0] * (len(cut) + 1), [None] * (len(cut) + 1)
+        done = 0
+        for i, j in [*_lattice(text, cut), (len(cut), len(cut) + 1)]:
+            while done < min(j, len(cut)):  # every part may stand alone
+                done += 1
+                best[done], back[done] = best[done - 1] + other, (done - 1, None)
+            if j <= len(cut):
+                scores = self._segment(text, cut[i][0], cut[j - 1][1], start, end)
+                k = max(range(len(KINDS)), key=scores.__getitem__)
+                if best[i] + scores[k] > best[j]:
+                    best[j], back[j] = best[i] + scores[k], (i, k)
         found, j = [], len(cut)
         while j:
             i, kind = back[j]
-            if kind != OTHER:
-                found.append((cut[i][0], KINDS.index(kind), cut[j - 1][1]))
+            if kind is not None:
+                found.append((cut[i][0], kind, cut[j - 1][1]))
             j = i
         return found[::-1]
 
@@ -184,11 +221,14 @@ class SegmentField:
         for text, spans in examples:
             for start, end in regions(text):
                 cut = _parts(text, start, end)
-                known.append((len(cut), list(_lattice(text, cut, start, end)), self._gold(cut, spans)))
+                lattice = [(i, j, segment_features(text, cut[i][0], cut[j - 1][1], start, end))
+                           for i, j in _lattice(text, cut)]
+                known.append((len(cut), lattice, self._gold(cut, spans, {(i, j) for i, j, _ in lattice})))
         for _ in range(epochs):
             for n, lattice, gold in known:
                 self._step(n, lattice, gold, squares, rate)
         self.weights = {k: v for k, v in self.weights.items() if abs(v) > 1e-3}
+        self._known = {}
         return self
 
     def _step(self, n, lattice, gold, squares, rate):
@@ -214,13 +254,13 @@ class SegmentField:
             self.weights[key] = self.weights.get(key, 0.0) + rate * g / np.sqrt(squares[key])
 
     @staticmethod
-    def _gold(cut, spans):
+    def _gold(cut, spans, able):
         starts = {s: i for i, (s, _) in enumerate(cut)}
         ends = {e: i + 1 for i, (_, e) in enumerate(cut)}
         gold, covered = set(), set()
         for s, kind, e in spans:
             i, j = starts.get(s), ends.get(e)
-            if i is not None and j is not None and not covered & set(range(i, j)) and j - i <= MAX_PARTS:
+            if (i, j) in able and not covered & set(range(i, j)):
                 gold.add((i, j, KINDS[kind]))
                 covered |= set(range(i, j))
         return gold | {(i, i + 1, OTHER) for i in range(len(cut)) if i not in covered}
