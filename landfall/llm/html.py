@@ -19,6 +19,8 @@ SAMPLE_PAGES = 150
 DRILLS = 600
 TREES, DEPTH, BINS, RATE = 40, 4, 24, 0.3
 
+#: Elements whose content is no markup; an open one of these runs to the end of the page.
+TEXT_ONLY = frozenset("script style textarea title iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg select".split())
 BLOCK = frozenset(
@@ -86,9 +88,11 @@ class Page:
     """
 
     def __init__(self, source, masks):
-        self.tags, self.masks, self.parents, self.depths, self.marks = ["html"], [0], [-1], [0], [None]
+        self.tags, self.masks, self.parents, self.depths = ["html"], [0], [-1], [0]
         self.linked, self.blocks = [0], []
         self._open, self._text, self._anchor = [("html", 0)], [], 0
+        self._places = {tag: [-1] for tag in BLOCK}  # of open elements of each tag, the root left out
+        endless = set()
         at, size = 0, len(source)
         while at < size:
             m = _TOKEN.search(source, at)
@@ -105,9 +109,15 @@ class Page:
                 self._close(tag)
                 continue
             self._start(tag, m[3], masks)
-            if tag in RAW and not m[3].endswith("/"):
+            # A slash at the end closes only foreign elements.
+            if tag in RAW and tag not in endless and not (tag == "svg" and m[3].endswith("/")):
                 end = re.compile(f"</{re.escape(tag)}(?![a-z0-9-])[^>]*>?", re.I).search(source, at)
-                at = end.end() if end else size
+                if end:
+                    at = end.end()
+                elif tag in TEXT_ONLY:
+                    at = size
+                else:
+                    endless.add(tag)  # never closed from here on: what follows is page text
         self._flush()
 
     def _add(self, text):
@@ -145,17 +155,22 @@ class Page:
         self.masks.append(masks[attributes])
         self.parents.append(parent)
         self.depths.append(self.depths[parent] + 1)
-        self.marks.append(attributes[attributes.index("data-keep=") + 10] if "data-keep=" in attributes else None)
         self.linked.append(0)
+        self._places[tag].append(len(self._open))
         self._open.append((tag, len(self.tags) - 1))
 
+    def _last(self, tags):
+        """Where the last open element of ``tags`` stands; -1 for none."""
+        return max(self._places[t][-1] for t in tags)
+
+    def _end(self, at):
+        while len(self._open) > at:
+            self._places[self._open.pop()[0]].pop()
+
     def _end_implied(self, names, stop):
-        for i in range(len(self._open) - 1, 0, -1):
-            tag = self._open[i][0]
-            if tag in names:
-                del self._open[i:]
-            elif tag in stop:
-                return
+        least = self._last(stop)
+        while self._last(names) > least:
+            self._end(self._last(names))
 
     def _close(self, tag):
         if tag == "a":
@@ -164,12 +179,24 @@ class Page:
             return
         self._flush()
         self._anchor = 0
-        for i in range(len(self._open) - 1, 0, -1):
-            if self._open[i][0] == tag:
-                del self._open[i:]
-                return
-            if tag == "p" and self._open[i][0] in SCOPES:
-                return
+        at = self._places[tag][-1]
+        if at >= 0 and not (tag == "p" and self._last(SCOPES) > at):
+            self._end(at)
+
+
+class _DrillPage(Page):
+    """A generated page, whose elements carry the mark that ``drill`` gave them."""
+
+    def __init__(self, source, masks):
+        self.marks = [None]
+        super().__init__(source, masks)
+
+    def _start(self, tag, attributes, masks):
+        before = len(self.tags)
+        super()._start(tag, attributes, masks)
+        if len(self.tags) > before:
+            mark = re.search("data-keep=([01])", attributes)
+            self.marks.append(mark and mark[1])
 
 
 def features(page):
@@ -416,12 +443,14 @@ def drill(rng, passages):
 def fit(pages, sample_pages=SAMPLE_PAGES, drills=DRILLS):
     """Trees fitted on an expected ``sample_pages`` pages, labelled by their semantic elements, and
     on ``drills`` pages of random layout filled with their passages. Pages are chosen by a hash of
-    page_id and html and read whole; those longer than 200,000 characters teach nothing."""
+    page_id and html, at most four times as many, and read whole; those longer than 200,000 characters
+    teach nothing."""
     some = pages.where(F.length("html").between(1, 200_000)).select("page_id", "html")
     n = some.count()
     rate = min(1.0, sample_pages / n) if n else 0.0
     chosen = some.where(unit_hash("page_id", "html", F.lit(2)) < rate)
-    sample = sorted(r["html"] for r in chosen.limit(4 * sample_pages).collect())
+    order = F.xxhash64("page_id", "html", F.lit(2))
+    sample = sorted(r["html"] for r in chosen.orderBy(order, "html").limit(4 * sample_pages).collect())
     masks, x, y, passages = _Masks(), [], [], ["Some plain words stand here."]
     for source in sample:
         page = Page(source, masks)
@@ -432,7 +461,7 @@ def fit(pages, sample_pages=SAMPLE_PAGES, drills=DRILLS):
             y.append(labels)
     rng = np.random.default_rng(4)
     for _ in range(drills):
-        page = Page(drill(rng, passages), masks)
+        page = _DrillPage(drill(rng, passages), masks)
         x.append(features(page))
         y.append(_marked_labels(page))
     return Boosting().fit(np.vstack(x), np.concatenate(y))
