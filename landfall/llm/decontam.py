@@ -3,7 +3,11 @@
 The index holds postings (term, doc_id, position) for the terms that can open a match: of every
 benchmark window the two terms that are rarest in the documents. A window is found by taking the
 list of its rarest term, shifting it to where the window would start, intersecting it with the
-shifted list of the second, and comparing the words of what is left.
+shifted list of the second, and comparing the words of what is left. Proximity matches let every
+word stand a few places off; they come from the list of the rarest term alone.
+
+Lists name texts, not rows: a text is known by its md5, so copies of a text, and rows without
+doc_id, are looked at once.
 """
 
 from pyspark.sql import functions as F
@@ -12,6 +16,7 @@ from landfall.llm.common import sized, stored
 
 WINDOW = 13
 SHARE = 20
+_GONE = "gone text print"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: What stands between words: all of ASCII but digits and small letters.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -40,10 +45,16 @@ def term_counts(docs, terms):
     return tokens.join(terms, F.col("token") == F.col("term")).groupBy("term").agg(F.count("*").alias("n"))
 
 
+def text_print(text):
+    """What a text is known by; NULL reads as empty."""
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
 def postings(docs, terms):
-    """(term, doc_id, at): every position of ``terms`` (term), from 0."""
-    tokens = docs.select("doc_id", F.posexplode(words_of(F.col("text"))).alias("at", "token"))
-    return tokens.join(terms, F.col("token") == F.col("term")).select("term", "doc_id", "at")
+    """(term, print, at): every position of ``terms`` (term) in every different text, from 0."""
+    tokens = docs.select(text_print(F.col("text")).alias("print"),
+                         F.posexplode(words_of(F.col("text"))).alias("at", "token"))
+    return tokens.join(terms, F.col("token") == F.col("term")).select("term", "print", "at").distinct()
 
 
 def _term_bytes():
@@ -73,57 +84,83 @@ def build_index(spark, docs, windows):
     return plans, stored(spark, postings(docs, sized(wanted, _term_bytes())), "postings")
 
 
-def candidates(plans, index, slop=0):
-    """(doc_id, key, size, start, gap): places where the two rarest terms agree.
+def _small_plans(plans):
+    return sized(plans, F.octet_length("t1") + F.coalesce(F.octet_length("t2"), F.lit(0)) + 160)
 
-    With ``slop`` 0 the two shifted lists are intersected; otherwise the terms may be up to
-    ``slop`` words further apart or closer than in the window, and gap says by how many.
-    """
-    small = sized(plans, F.octet_length("t1") + F.coalesce(F.octet_length("t2"), F.lit(0)) + 160)
-    opened = index.join(small, F.col("term") == F.col("t1")).select(
-        "doc_id", "key", "size", (F.col("at") - F.col("o1")).alias("start"), "t2", "o2")
-    alone = opened.where("t2 is null and start >= 0").select(
-        "doc_id", "key", "size", "start", F.lit(0).alias("gap"))
-    other = index.select(F.col("doc_id").alias("d2"), F.col("term").alias("term2"), F.col("at").alias("at2"))
-    # One row per place where the second term may stand: equi-joins stay equi-joins with a slop.
-    seek = opened.where("t2 is not null").select(
-        "*", F.explode(F.sequence(F.lit(-slop), F.lit(slop))).alias("gap"))
-    met = seek.join(other, F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("t2") == F.col("term2"))
-                    & (F.col("start") + F.col("o2") + F.col("gap") == F.col("at2")))
-    met = met.select("doc_id", "key", "size", "start", "gap")
-    return alone.union(met.where("start >= 0") if not slop else met)
+
+def candidates(plans, index):
+    """(print, key, size, start): places where the two rarest terms of a window agree."""
+    opened = index.join(_small_plans(plans), F.col("term") == F.col("t1")).select(
+        "print", "key", "size", (F.col("at") - F.col("o1")).alias("start"), "t2", "o2")
+    alone = opened.where("t2 is null and start >= 0").select("print", "key", "size", "start")
+    other = index.select(F.col("print").alias("p2"), F.col("term").alias("term2"), F.col("at").alias("at2"))
+    met = opened.where("t2 is not null and start >= 0").join(
+        other, (F.col("print") == F.col("p2")) & (F.col("t2") == F.col("term2"))
+        & (F.col("start") + F.col("o2") == F.col("at2")))
+    return alone.union(met.select("print", "key", "size", "start"))
 
 
 def proximity_matches(spark, docs, items, slop, width=WINDOW):
-    """(doc_id, item_id, start, gap): windows whose two rarest terms stand within ``slop`` words
-    of their distance in the window. Exact phrases are among them with gap 0."""
+    """(doc_id, item_id, start): places where all words of a window stand within ``slop`` of their own.
+
+    A document matches an item's window of k words at ``start`` (0 to its words less k) if each word i of
+    the window occurs in the document less than ``slop`` + 1 places from start + i. Exact phrases are
+    among the matches. Of equal windows of an item one row is given for a place. NULL texts have
+    no words; NULL item_ids form no item; repeated rows give their matches again.
+    """
+    docs, items = docs.select("doc_id", "text"), items.where("item_id is not null")
     windows = stored(spark, item_windows(items, width), "item-windows")
     plans, index = build_index(spark, docs, windows)
-    near = candidates(plans, index, slop)
-    return near.join(windows.select("item_id", "key"), "key").select(
-        "doc_id", "item_id", "start", "gap").distinct()
+    words = stored(spark, windows.groupBy("key").agg(F.first("words").alias("words")), "window-words")
+    places = index.join(_small_plans(plans), F.col("term") == F.col("t1")).select(
+        "print", "key", F.explode(F.sequence(F.col("at") - F.col("o1") - slop, F.col("at") - F.col("o1") + slop)).alias("start"))
+    places = places.where("start >= 0").distinct().join(
+        sized(words, F.aggregate("words", F.lit(64), lambda n, w: n + F.octet_length(w) + 24)), "key")
+    places = stored(spark, places.groupBy("print").agg(
+        F.collect_list(F.struct("start", "key", "words")).alias("open")), "places")
+    rows = docs.withColumn("print", text_print(F.col("text"))).join(places, "print").select(
+        "doc_id", words_of(F.col("text")).alias("w"), F.explode("open").alias("o"))
+
+    def stands(word, i):
+        low = F.greatest(F.col("o.start") + i - slop, F.lit(0))
+        return F.array_contains(F.slice(F.col("w"), low + 1, F.col("o.start") + i + slop - low + 1), word)
+
+    whole = F.aggregate(F.transform("o.words", stands), F.lit(True), lambda a, b: a & b)
+    found = rows.where((F.col("o.start") + F.size("o.words") <= F.size("w")) & whole)
+    owned = stored(spark, windows.select("item_id", F.col("key").alias("owned")).distinct(), "owned")
+    return found.select("doc_id", F.col("o.key").alias("key"), F.col("o.start").alias("start")).join(
+        sized(owned, 64), F.col("key") == F.col("owned")).select("doc_id", "item_id", "start")
 
 
 def exact_matches(spark, docs, items, width=WINDOW):
     """Every row of ``docs`` with its words counted and its exact matches, and the windows.
 
-    Returns (rows, windows). rows: doc_id, print (hash of the text), n_words, hits
+    Returns (rows, windows). rows: doc_id, print (of the text), n_words, hits
     (array of start, size, key); windows: item_id, key.
     """
     windows = stored(spark, item_windows(items, width), "item-windows")
     plans, index = build_index(spark, docs, windows)
     found = stored(spark, candidates(plans, index).distinct(), "candidates")
-    by_doc = found.groupBy("doc_id").agg(
-        F.collect_list(F.struct("start", "size", "key")).alias("open")).withColumnRenamed("doc_id", "of")
-    by_doc = stored(spark, by_doc, "by-document")
-    rows = docs.join(sized(by_doc, 72 * F.size("open") + 64), F.col("doc_id").eqNullSafe(F.col("of")), "left")
-    rows = rows.select("doc_id", F.xxhash64("text").alias("print"), words_of(F.col("text")).alias("w"), "open")
+    by_text = found.groupBy("print").agg(
+        F.collect_list(F.struct("start", "size", "key")).alias("open")).withColumnRenamed("print", "of")
+    by_text = stored(spark, by_text, "by-text")
+    rows = docs.withColumn("print", text_print(F.col("text"))).join(
+        sized(by_text, 72 * F.size("open") + 96), F.col("print") == F.col("of"), "left")
+    rows = rows.select("doc_id", "print", words_of(F.col("text")).alias("w"), "open")
     same = F.filter(F.coalesce("open", F.array()), lambda c: F.md5(F.concat_ws(
         " ", F.slice(F.col("w"), c["start"] + 1, c["size"]))) == c["key"])
     return stored(spark, rows.select(
         "doc_id", "print", F.size("w").cast("long").alias("n_words"), same.alias("hits")), "hits"), windows
 
 
+def clean_documents(spark, docs, items):
+    """The rows of ``docs`` whose text is not contaminated (see ``decontaminate``), whatever their doc_id."""
+    gone = _judged(spark, docs.select(F.lit(None).cast("long").alias("doc_id"), "text"),
+                   items.select("item_id", "text"), WINDOW, SHARE)
+    gone = stored(spark, gone.where("contaminated").select(F.col("print").alias(_GONE)).distinct(), "contaminated")
+    return docs.join(sized(gone, 64), text_print(F.col("text")) == F.col(_GONE), "left_anti")
+
+
 def decontaminate(spark, docs, items, width=WINDOW, share=SHARE):
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of ``docs``.
 
@@ -132,9 +169,11 @@ def decontaminate(spark, docs, items, width=WINDOW, share=SHARE):
     with the same result; NULL item_ids form no item and NULL doc_ids are documents like others.
     Without items, or documents, nothing is hit. Other columns play no part.
     """
-    docs = docs.select("doc_id", "text")
-    items = items.select("item_id", "text").where("item_id is not null")
-    rows, windows = exact_matches(spark, docs, items, width)
+    return _judged(spark, docs.select("doc_id", "text"), items.select("item_id", "text"), width, share).drop("print")
+
+
+def _judged(spark, docs, items, width, share):
+    rows, windows = exact_matches(spark, docs, items.where("item_id is not null"), width)
     covered = F.array_distinct(F.flatten(F.transform(
         F.array_distinct(F.transform("hits", lambda h: F.struct(h["start"], h["size"]))),
         lambda h: F.sequence(h["start"], h["start"] + h["size"] - 1))))
@@ -143,16 +182,15 @@ def decontaminate(spark, docs, items, width=WINDOW, share=SHARE):
         F.array_distinct(F.transform("hits", lambda h: h["key"])).alias("keys"))
     owned = stored(spark, windows.select("item_id", F.col("key").alias("owned")).distinct(), "owned")
     named = (
-        counted.where("n_hit > 0").select(
-            F.col("doc_id").alias("d"), F.col("print").alias("p"), F.explode("keys").alias("k"))
+        counted.where("n_hit > 0").select(F.col("print").alias("p"), "keys").distinct()
+        .select("p", F.explode("keys").alias("k"))
         .join(sized(owned, 64), F.col("k") == F.col("owned"))
-        .groupBy("d", "p").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("ids"))
+        .groupBy("p").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("ids"))
     )
     named = stored(spark, named, "named")
-    out = counted.join(sized(named, 24 * F.size("ids") + 64),
-                       F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("print") == F.col("p")), "left")
+    out = counted.join(sized(named, 24 * F.size("ids") + 96), F.col("print") == F.col("p"), "left")
     ids = F.coalesce("ids", F.array().cast("array<string>"))
     return out.select(
-        "doc_id", "n_words", "n_hit", F.size(ids).cast("long").alias("n_items"),
+        "doc_id", "print", "n_words", "n_hit", F.size(ids).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", ids), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
