@@ -1,8 +1,10 @@
 """Helpers shared by the training-data operators."""
 
 import pyarrow.compute as pc
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from landfall.functions.names import fresh
 from landfall.session import scratch_dir
 
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -54,6 +56,25 @@ def text_slices(batches, rows=256, size=1 << 22):
         yield batch.slice(start)
 
 
+def numbered(spark, rows, key, name):
+    """``rows`` with a number (from 0) among those of equal ``key``, a column that is never NULL.
+
+    Rows are numbered within the tasks that wrote them, and tasks are set one behind the other by
+    their counts, so that a frequent key never meets in one task. Which of several rows gets which
+    number may differ between runs; use it only where they are alike.
+    """
+    part, count, first, inside = (fresh(n, rows) for n in ("part_", "count_", "first_", "inside_"))
+    rows = stored(spark, rows.withColumn(part, F.spark_partition_id()), name)
+    counts = rows.groupBy(key, part).agg(F.count("*").alias(count))
+    before = Window.partitionBy(key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    counts = stored(spark, counts.select(key, part, F.coalesce(F.sum(count).over(before), F.lit(0)).alias(first)),
+                    f"{name}-first")
+    among = F.row_number().over(Window.partitionBy(key, part).orderBy(F.lit(0))) - 1
+    small = sized(counts, F.octet_length(F.col(key).cast("string")) + 32)
+    numbers = rows.withColumn(inside, among).join(small, [key, part])
+    return numbers.withColumn("number", F.col(first) + F.col(inside)).drop(part, first, inside)
+
+
 def unit_hash(*columns):
     """A number in [0, 1) that depends only on the values."""
     return (F.shiftrightunsigned(F.xxhash64(*columns), 11)).cast("double") / F.lit(float(1 << 53))

@@ -1,9 +1,9 @@
-"""Mixing sources to target weights by whole and hash-seeded copies of documents."""
+"""Mixing sources to target weights by whole copies of documents and one that a hash draws."""
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from landfall.llm.common import sized, stored
+from landfall.llm.common import numbered, sized, stored
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -11,9 +11,18 @@ MOST_REPEATS = 2.0
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def drawn(column, seed):
-    """A number in [0, 1) from the first 52 bits of an md5, which any SQL engine can repeat."""
-    text = F.concat(F.coalesce(F.col(column).cast("string"), F.lit("")), F.lit(f":{seed}"))
+def row_key(doc_id, text):
+    """A text that tells rows apart by doc_id and text; NULLs read as empty."""
+    return F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"),
+                          F.coalesce(F.md5(text.cast("binary")), F.lit(""))))
+
+
+def drawn(key, number, seed):
+    """A number in [0, 1) from the first 52 bits of an md5, which any SQL engine can repeat.
+
+    ``number`` (from 0) counts rows of equal ``key``, so that these draw apart.
+    """
+    text = F.concat(key, F.lit(":"), number.cast("string"), F.lit(f":{seed}"))
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
@@ -63,29 +72,42 @@ def mix(spark, docs, weights=WEIGHTS, share=SHARE, most=MOST_REPEATS, seed=17, k
     """Every document with the number of copies that the mix takes of it.
 
     Returns the columns of ``docs`` named in ``keep`` (all with None; their names must then not be
-    size, source_size, target, copies or copy), size, source_size, target, copies. A document of a source with
-    rate r has floor(r) copies and one more with probability r - floor(r), drawn from a hash
-    of its doc_id and ``seed``, so reruns and repeated rows agree. NULL text has size 0;
-    NULL sources form one source, last in order; an empty table gives no rows.
-    Sources are added up from source and word count alone; their rates are broadcast to the
-    documents (if small), so the text is not shuffled.
+    size, source_size, target, copies or copy), size, source_size, target, copies. A document of a source
+    with rate r has floor(r) copies and one more with probability r - floor(r), drawn from a hash of
+    its doc_id, its text, a number among rows equal in both, and ``seed``. So reruns agree, and
+    rows without doc_id, or with one that repeats, still draw one by one: every source's words come
+    near its target. NULL text has size 0; NULL sources form one source, last in order; an empty
+    table gives no rows. Sources are added up from word counts alone; their rates are broadcast to
+    the documents (if small), so the text is not shuffled, but for rows that repeat.
     """
     kept = [c for c in docs.columns if keep is None or c in keep]
     clash = {"size", "source_size", "target", "copies", "copy"} & set(kept)
     if clash:
         raise ValueError(f"columns with names of the mix: {sorted(clash)}")
-    size = words_of(F.col("text")).alias("size")
-    counted = stored(spark, docs.select("doc_id", "source", size), "sizes")
-    sizes = counted.groupBy("source").agg(F.sum("size").alias("source_size"))
+    rows = docs.select(F.struct(*kept).alias("kept"), F.col("source").alias("from"),
+                       words_of(F.col("text")).alias("size"), row_key(F.col("doc_id"), F.col("text")).alias("key"))
+    counted = stored(spark, rows if keep else rows.drop("kept"), "sizes")
+    sizes = counted.groupBy(F.col("from").alias("source")).agg(F.sum("size").alias("source_size"))
     targets = stored(spark, source_targets(sizes, weights, share, most), "targets")
     small = sized(targets, F.coalesce(F.octet_length("source"), F.lit(0)) + 64)
-    if keep is None:
-        counted = docs.select("doc_id", "source", size, F.struct(*kept).alias("kept"))
+    rows = _numbered_rows(spark, counted if keep else rows, counted)
     rate = F.col("of.rate")
-    copies = (F.floor(rate) + (drawn("doc_id", seed) < rate - F.floor(rate)).cast("int")).cast("int")
-    return counted.join(
-        small.select(F.struct("*").alias("of")), F.col("source").eqNullSafe(F.col("of.source"))
-    ).select(*(["kept.*"] if keep is None else kept), "size", "of.source_size", "of.target", copies.alias("copies"))
+    more = drawn(F.col("key"), F.col("number"), seed) < rate - F.floor(rate)
+    copies = (F.floor(rate) + more.cast("int")).cast("int")
+    return rows.join(
+        small.select(F.struct("*").alias("of")), F.col("from").eqNullSafe(F.col("of.source"))
+    ).select("kept.*", "size", "of.source_size", "of.target", copies.alias("copies"))
+
+
+def _numbered_rows(spark, rows, counted):
+    """``rows`` with number: 0, or the place among rows of the same key where a key repeats."""
+    seen = F.xxhash64("key").alias("seen")
+    repeated = stored(spark, counted.groupBy(seen).agg(F.count("*").alias("n")).where("n > 1").select("seen"), "repeated")
+    if repeated.isEmpty():
+        return rows.withColumn("number", F.lit(0).cast("long"))
+    repeated, same = sized(repeated, 16), F.xxhash64("key") == F.col("seen")
+    alike = numbered(spark, rows.join(repeated, same, "left_semi"), "key", "alike")
+    return rows.join(repeated, same, "left_anti").withColumn("number", F.lit(0).cast("long")).unionByName(alike)
 
 
 def emit(mixed):

@@ -147,6 +147,42 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
 
 
+@query
+def decontaminate_proximity(spark, sf_dir):
+    """Where documents nearly repeat a benchmark window: each word at most two places off."""
+    return decontam.proximity_matches(
+        spark, load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), 2)
+
+
+CHECKS["decontaminate_proximity"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+  WHERE item_id IS NOT NULL),
+win AS (
+  SELECT DISTINCT item_id, w[i:i + 12] AS words
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+tok AS (SELECT r, unnest(w) AS term, generate_subscripts(w, 1) - 1 AS at FROM d),
+freq AS (SELECT term, count(*) AS n FROM tok GROUP BY term),
+rarest AS (
+  SELECT words, arg_min(i, n) AS o, arg_min(term, n) AS term
+  FROM (SELECT words, i, words[i + 1] AS term, coalesce(n, 0) AS n
+        FROM (SELECT DISTINCT words, unnest(range(len(words))) AS i FROM win)
+        LEFT JOIN freq ON freq.term = words[i + 1])
+  GROUP BY words),
+place AS (
+  SELECT DISTINCT r, words, at - o + unnest(range(-2, 3)) AS start
+  FROM tok JOIN rarest USING (term))
+SELECT d.doc_id, win.item_id, CAST(start AS INTEGER) AS start
+FROM place JOIN d USING (r) JOIN win USING (words)
+WHERE start >= 0 AND start + len(words) <= len(w)
+  AND len(list_filter(range(len(words)), lambda i:
+    list_contains(w[greatest(start + i - 2, 0) + 1:start + i + 3], words[i + 1]))) = len(words)
+"""
+
+
 @query
 def op7_html_text(spark, sf_dir):
     return html.extract(spark, load(spark, sf_dir, "pages"))
@@ -194,7 +230,8 @@ def op10_mix_sources(spark, sf_dir):
 
 CHECKS["op10_mix_sources"] = r"""
 WITH d AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(md5(text), '')) AS k
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (
@@ -212,7 +249,7 @@ t AS (
   SELECT source, source_size, least(cap, weight * coalesce((SELECT level FROM f), 1e300)) AS target FROM w)
 SELECT d.doc_id, d.size, t.source_size, t.target,
   CAST(d.size * (floor(r) + CASE WHEN u < r - floor(r) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM (SELECT *, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':17'), 1, 13) AS BIGINT)
+FROM (SELECT *, CAST('0x' || substr(md5(k || ':' || (row_number() OVER (PARTITION BY k) - 1) || ':17'), 1, 13) AS BIGINT)
         / 4503599627370496.0::DOUBLE AS u FROM d) d
 JOIN (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS r FROM t) t
   ON t.source IS NOT DISTINCT FROM d.source
