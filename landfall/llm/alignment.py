@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from landfall.llm.common import sized, stored, text_slices
-from landfall.llm.tokens import ByteBpe, PieceBpe
+from landfall.llm.tokens import PieceBpe, byte_bpe
 
 ALIGNED = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, "
            "a array<int>, b array<int>, n array<int>")
@@ -68,7 +68,7 @@ class Aligner:
     """Both tokenizers, loaded once in a task."""
 
     def __init__(self, path_a, path_b):
-        self.one, self.two = ByteBpe(path_a), PieceBpe(path_b)
+        self.one, self.two = byte_bpe(path_a), PieceBpe(path_b)
         self.names_a, self.names_b = self.one.token_bytes(), self.two.token_bytes()
         self.sizes_a, self.sizes_b = (np.array([len(n) for n in names]) for names in (self.names_a, self.names_b))
 

@@ -17,7 +17,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from landfall.llm.common import sized, stored, text_slices
-from landfall.llm.tokens import ByteBpe
+from landfall.llm.tokens import byte_bpe
 
 CAPACITY = 2048
 END_ID = 0
@@ -229,7 +229,7 @@ def tokenize(docs, path, capacity=CAPACITY, end_id=END_ID):
     part is the number of the task, nth counts pieces of one length within it.
     """
     def run(batches):
-        encoder, seen = ByteBpe(path, specials=True), Counter()
+        encoder, seen = byte_bpe(path, specials=True), Counter()
         for batch in text_slices(batches):
             ids, starts, rows, parts, nth = [], [], [], [], []
             for row, text in enumerate(batch.column("text").to_pylist()):

@@ -2,14 +2,13 @@
 
 import json
 import re
+from array import array
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
-import sentencepiece
 from tokenizers import Tokenizer
 
-CACHE_WORDS = 200_000
+CACHE_WORDS = 500_000
 LONG_WORD = 48
 #: Characters on which this module's pattern of words agrees with the tokenizer's own; they have not
 #: changed their Unicode class for long. Texts with others are cut by the tokenizer itself.
@@ -27,6 +26,23 @@ def byte_letters():
     return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
+class _Words(dict):
+    """word -> its ids as bytes, which cost no work of the garbage collector; emptied when full."""
+
+    def __init__(self, model):
+        super().__init__()
+        self._tokenize, self._letters = model.tokenize, dict(enumerate(byte_letters()))
+
+    def __missing__(self, word):
+        letters = word.encode().decode("latin-1").translate(self._letters)
+        ids = array("i", [t.id for t in self._tokenize(letters)]).tobytes()
+        if len(word) <= LONG_WORD:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class ByteBpe:
     """Byte-level BPE from a ``tokenizers`` file.
 
@@ -43,18 +59,9 @@ class ByteBpe:
         self._by_words = (cut.get("type"), cut.get("use_regex"), cut.get("add_prefix_space"), told["normalizer"],
                           told["model"]["type"], told["model"]["dropout"]) == ("ByteLevel", True, False, None, "BPE", None)
         self._marks = [t["content"] for t in told["added_tokens"] if specials or not t["special"]]
-        self._letters = dict(enumerate(byte_letters()))
-        self._known = {}
+        self._known = _Words(self._whole.model)
         self.size = self._whole.get_vocab_size()
 
-    def _word(self, word):
-        ids = [t.id for t in self._whole.model.tokenize(word.encode().decode("latin-1").translate(self._letters))]
-        if len(word) <= LONG_WORD:
-            if len(self._known) >= CACHE_WORDS:
-                self._known.clear()
-            self._known[word] = ids
-        return ids
-
     def ids(self, text):
         if not self._by_words or any(m in text for m in self._marks):
             return np.array(self._whole.encode(text, add_special_tokens=False).ids, np.int32)
@@ -62,8 +69,7 @@ class ByteBpe:
             words = _WORDS.findall(text)
         else:
             words = [text[a:b] for _, (a, b) in self._whole.pre_tokenizer.pre_tokenize_str(text)]
-        known = self._known.get
-        return np.fromiter(chain.from_iterable([known(w) or self._word(w) for w in words]), np.int32)
+        return np.frombuffer(b"".join(map(self._known.__getitem__, words)), np.int32)
 
     def token_bytes(self):
         """The bytes of every id; none for ids without an entry."""
@@ -75,10 +81,18 @@ class ByteBpe:
         return out
 
 
+@lru_cache(maxsize=4)
+def byte_bpe(path, specials=False):
+    """One ``ByteBpe`` for all tasks that a Python worker runs, with the words it knows."""
+    return ByteBpe(path, specials)
+
+
 class PieceBpe:
     """BPE with byte fallback from a ``sentencepiece`` file."""
 
     def __init__(self, path):
+        import sentencepiece  # only tasks that use it load it
+
         self._model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.size = self._model.get_piece_size()
 
