@@ -34,7 +34,11 @@ def lookup_join(df, lookup, on, how="left", limit=BROADCAST_LIMIT, computed=Fals
     return df.join(F.broadcast(lookup) if small else lookup, on, how)
 
 
+def sized_broadcast(df, limit=BROADCAST_LIMIT):
+    """``df``, marked for broadcast only if its measured size is small."""
+    return F.broadcast(df) if payload_bytes(df) <= limit else df
+
+
 def sized_semi_join(df, wanted, on, limit=BROADCAST_LIMIT):
     """The rows of ``df`` whose ``on`` occurs in ``wanted``, which is broadcast only if it is small."""
-    small = payload_bytes(wanted) <= limit
-    return df.join(F.broadcast(wanted) if small else wanted, on, "left_semi")
+    return df.join(sized_broadcast(wanted, limit), on, "left_semi")

@@ -14,10 +14,11 @@ from pyspark.sql import types as T
 
 from landfall import schemas
 from landfall.functions.dates import day_number_to_date
+from landfall.functions.missing import is_present
 from landfall.operators import cleaning
 from landfall.operators.joins import sized_semi_join
-from landfall.plans import model, quality
-from landfall.sources import quarantine, readers, versions, writers
+from landfall.plans import model, profile, quality, star
+from landfall.sources import bucketed, quarantine, readers, versions, writers
 from landfall.sources.paths import join_path
 
 CALENDAR_PARTITIONS = ("year", "month")
@@ -26,6 +27,11 @@ ARRIVAL_MONTH = ("arrival_year", "arrival_month")
 READING_MONTH = ("reading_year", "reading_month")
 CLEAN_ARRIVALS = "arrivals_clean"
 REJECTED = "rejected_"
+#: Summaries of the cleaned arrivals' columns by month.
+PROFILE = "arrivals_profile"
+#: The integral form of ``cicid`` by which two tables are bucketed; no column of a target.
+BUCKET_KEY = "cicid_key"
+BUCKETED = ("dim_immigrant", "fact_i94_immigration")
 
 
 @dataclass(frozen=True)
@@ -44,6 +50,9 @@ class LakeConfig:
 
     ``csv_tolerance`` is the share of broken lines that a CSV source may have: they go to a side table
     (``read_rejected``). Without it the first broken line fails the job.
+
+    ``buckets`` stores fact and immigrants bucketed and sorted by their id, so that
+    ``join_fact_immigrant`` needs no shuffle. It is for lakes that are not monthly.
     """
 
     output: str
@@ -59,6 +68,11 @@ class LakeConfig:
     monthly: bool = False
     one_row_per_key: bool = False
     csv_tolerance: float | None = None
+    buckets: int | None = None
+
+    def __post_init__(self):
+        if self.buckets and self.monthly:
+            raise ValueError("a monthly lake is split by folders, not bucketed")
 
 
 class CheckFailed(RuntimeError):
@@ -107,10 +121,56 @@ def _stored(spark, cfg, table, columns, partitions):
     return versions.read_parts(spark, cfg.output, parts, _with_folders(columns, partitions))
 
 
+def read_months(spark, cfg, table):
+    """A published table that is split by month: a frame for each run that wrote some of its months."""
+    folders = _folders_of(table, cfg)
+    parts = versions.table_parts(spark, cfg.output, table, folders)
+    return versions.part_frames(spark, cfg.output, parts, _with_folders(schemas.TARGETS[table].fields, folders))
+
+
+def fact_in_calendar(spark, cfg, condition):
+    """Fact rows of a monthly lake on the days that meet a condition on the calendar's columns."""
+    _needs_months(cfg)
+    table = "fact_i94_immigration"
+    return star.fact_in_calendar(
+        read_months(spark, cfg, table), read_table(spark, cfg, "dim_calendar"), condition, _folders_of(table, cfg))
+
+
+def join_fact_immigrant(spark, cfg):
+    """Every fact row that has a cicid with its person, from the bucketed tables: no shuffle.
+
+    With one row per cicid, which the job has checked, people are joined as they are stored.
+    """
+    sides = []
+    for table in BUCKETED:
+        (folder,) = versions.table_parts(spark, cfg.output, table).values()
+        schema = _with_key(schemas.TARGETS[table])
+        rows = bucketed.read_bucketed(spark, join_path(cfg.output, folder), schema, BUCKET_KEY, cfg.buckets)
+        sides.append(rows.where(F.col(BUCKET_KEY).isNotNull()))
+    people, fact = sides
+    people = people.drop("cicid")
+    if cfg.arrivals_rule.keys != ("cicid",):
+        people = cleaning.drop_duplicate_rows(people, [BUCKET_KEY])
+    return fact.join(people.hint("merge"), BUCKET_KEY).drop(BUCKET_KEY)
+
+
+def _with_key(schema):
+    return T.StructType([*schema.fields, T.StructField(BUCKET_KEY, T.LongType())])
+
+
 def _write(df, cfg, run, table, partitions=(), measures=None, sorted_by=()):
     """Write a new version of a table: (parts, rows as they are read back, what was measured)."""
     spark, folder = df.sparkSession, f"{table}/{run}"
-    measured = writers.write_measured(df, join_path(cfg.output, folder), measures, partitions, sorted_by)
+    path = join_path(cfg.output, folder)
+    if cfg.buckets and table in BUCKETED:
+        # The key must be exact: an id with a fraction has none, and would be lost to the join.
+        exact = F.count_if(F.col(BUCKET_KEY).isNull() & is_present(df, "cicid"))
+        df = df.withColumn(BUCKET_KEY, bucketed.integral(F.col("cicid")))
+        measured = bucketed.write_bucketed(df, path, BUCKET_KEY, cfg.buckets, (measures or {}) | {"inexact": exact})
+        if measured.pop("inexact"):
+            raise CheckFailed(f"{table}: cicid holds numbers that are not whole")
+    else:
+        measured = writers.write_measured(df, path, measures, partitions, sorted_by)
     parts = versions.written_parts(spark, cfg.output, folder, partitions)
     stored = versions.read_parts(spark, cfg.output, parts, _with_folders(df.schema.fields, partitions))
     return parts, stored, measured
@@ -225,6 +285,7 @@ def _arrivals(spark, cfg, run):
     if cfg.monthly:
         tables[CLEAN_ARRIVALS], cleaned, measured = _write(
             cleaned, cfg, run, CLEAN_ARRIVALS, ARRIVAL_MONTH, measures, rule.keys or ())
+        tables[PROFILE] = _write_profile(cleaned, cfg, run)
     else:
         staged, schema = join_path(cfg.staging, f"arrivals-{run}"), cleaned.schema
         measured = writers.write_measured(cleaned, staged, measures)
@@ -239,6 +300,18 @@ def _arrivals(spark, cfg, run):
     return _Written(tables | {t: parts for t, (parts, _) in checked.items()}, [c for _, c in checked.values()], flows)
 
 
+def _write_profile(cleaned, cfg, run):
+    """Summaries of the months in ``cleaned``, as parts of the profile table."""
+    found = profile.summaries(cleaned, ARRIVAL_MONTH)
+    return _write(found.select(*profile.SUMMARY.names, *ARRIVAL_MONTH), cfg, run, PROFILE, ARRIVAL_MONTH)[0]
+
+
+def read_profile(spark, cfg):
+    """Profile of all cleaned arrivals of a monthly lake, merged from its months' summaries."""
+    _needs_months(cfg)
+    return profile.merged(_stored(spark, cfg, PROFILE, profile.SUMMARY.fields, ARRIVAL_MONTH).drop(*ARRIVAL_MONTH))
+
+
 def _arrivals_tables(spark, cfg, run, cleaned):
     """{table: (parts, check)} of the three tables that are built from cleaned arrivals."""
     keys, folders = cfg.arrivals_rule.keys, ARRIVAL_MONTH if cfg.monthly else ()
@@ -422,7 +495,7 @@ def refresh_arrivals(batch, cfg):
     checks = []
     if months:
         names = {t: _folders_of(t, cfg) for t in (
-            CLEAN_ARRIVALS, "dim_calendar", "dim_immigrant", "fact_i94_immigration")}
+            CLEAN_ARRIVALS, PROFILE, "dim_calendar", "dim_immigrant", "fact_i94_immigration")}
         old = {t: versions.table_parts(spark, cfg.output, t, folders) for t, folders in names.items()}
         stored = versions.read_parts(
             spark, cfg.output, old[CLEAN_ARRIVALS], _with_folders(new.schema.fields, ARRIVAL_MONTH))
@@ -433,6 +506,7 @@ def refresh_arrivals(batch, cfg):
         tables = {}
         tables[CLEAN_ARRIVALS], cleaned, _ = _write(
             merged, cfg, run_name, CLEAN_ARRIVALS, ARRIVAL_MONTH, sorted_by=rule.keys or ())
+        tables[PROFILE] = _write_profile(cleaned, cfg, run_name)
         # These months' dates anew, since a stored row may have given way to one of another day.
         done = _arrivals_tables(spark, cfg, run_name, cleaned)
         checks = [done[t][1] for t in ("dim_immigrant", "fact_i94_immigration")]

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from landfall.functions.missing import is_present
 from landfall.operators.cleaning import drop_duplicate_rows
-from landfall.operators.joins import lookup_join
+from landfall.operators.joins import lookup_join, sized_broadcast
 
 
 def fact_with_immigrant(fact, immigrant):
@@ -17,6 +17,25 @@ def fact_with_immigrant(fact, immigrant):
     return fact.filter(is_present(fact, "cicid")).join(people, "cicid", "inner")
 
 
+def fact_in_calendar(parts, calendar, condition, folders):
+    """Fact rows of the calendar days that meet ``condition``, with the days' columns.
+
+    ``parts`` are frames of a fact split by the columns ``folders``, year and month of ``arrdate``. A
+    condition on year and month prunes the folders when the query is planned, one on other columns
+    while it runs, by the months of the days found: files of other months are not read.
+    """
+    days = calendar.where(condition).where(F.col("arrdate").isNotNull())
+    days = sized_broadcast(days.withColumnsRenamed({"arrdate": "_day", "year": "_year", "month": "_month"}))
+    year, month = folders
+    result = None
+    for part in parts:
+        joined = part.join(days, (F.col(year) == F.col("_year")) & (F.col(month) == F.col("_month"))
+                           & (F.col("arrdate") == F.col("_day"))).drop("_day")
+        joined = joined.withColumnsRenamed({"_year": "year", "_month": "month"}).drop(*folders)
+        result = joined if result is None else result.unionByName(joined)
+    return result
+
+
 def fact_with_calendar(fact, calendar):
     """Every fact row; an unknown arrival date matches no calendar row.
 

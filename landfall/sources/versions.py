@@ -94,22 +94,28 @@ def table_parts(spark, output, table, partitions=()):
     return {"": table} if plain else {}
 
 
-def read_parts(spark, output, parts, schema):
-    """The rows of ``parts`` under ``schema``, partition columns included."""
+def part_frames(spark, output, parts, schema):
+    """One frame for every run's folder among ``parts``, under ``schema``, partition columns included."""
     folders = {}
     for part, folder in parts.items():
         folders.setdefault(folder, []).append(part)
-    reader = spark.read.schema(schema)
-    result = None
+    frames = []
     for folder in sorted(folders):
         base, named = join_path(output, folder), sorted(folders[folder])
         depth = named[0].count("/") + 1 if named[0] else 0
         # A folder of which all parts count is read by its listing, without naming each.
         whole = not depth or len(written_parts(spark, output, folder, range(depth))) == len(named)
         paths = [base] if whole else [f"{base}/{part}" for part in named]
-        rows = reader.option("basePath", base).parquet(*paths)
-        result = rows if result is None else result.unionByName(rows)
-    return spark.createDataFrame([], schema) if result is None else result
+        frames.append(spark.read.schema(schema).option("basePath", base).parquet(*paths))
+    return frames or [spark.createDataFrame([], schema)]
+
+
+def read_parts(spark, output, parts, schema):
+    """The rows of ``parts`` as one frame."""
+    first, *rest = part_frames(spark, output, parts, schema)
+    for rows in rest:
+        first = first.unionByName(rows)
+    return first
 
 
 def publish(spark, output, tables, seen=None):

@@ -4,7 +4,8 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 
-def _counted(df, measures=None):
+def observed(df, measures=None):
+    """``df`` with its rows and the aggregates ``measures`` to be seen when an action runs it."""
     seen = Observation()
     named = [column.alias(name) for name, column in (measures or {}).items()]
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), *named), seen
@@ -20,14 +21,14 @@ def write_measured(df, path, measures=None, partitions=(), sorted_by=()):
         writer, seen = _partition_writer(df, partitions, measures, sorted_by)
         writer.option("partitionOverwriteMode", "static").parquet(path)
     else:
-        counted, seen = _counted(df, measures)
+        counted, seen = observed(df, measures)
         counted.write.mode("overwrite").parquet(path)
     return dict(seen.get)
 
 
 def write_split(df, path, column, measures=None):
     """Replace the dataset at ``path``, split by a column of few values, in the tasks that made the rows."""
-    counted, seen = _counted(df, measures)
+    counted, seen = observed(df, measures)
     counted.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(column).parquet(path)
     return dict(seen.get)
 
@@ -43,7 +44,7 @@ def _partition_writer(df, columns, measures=None, sorted_by=()):
     df = df.hint("rebalance", *columns)
     if sorted_by:
         df = df.sortWithinPartitions(*columns, *sorted_by)
-    counted, seen = _counted(df, measures)
+    counted, seen = observed(df, measures)
     return counted.write.mode("overwrite").partitionBy(*columns), seen
 
 

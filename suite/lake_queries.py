@@ -98,6 +98,33 @@ def monthly_refresh_moved(spark, sf_dir):
     return fact.select("cicid", "arrdate", "airline", "i94addr")
 
 
+NUMBERS = ("cicid", "i94cit", "i94res", "arrdate", "i94mode", "depdate", "i94bir", "i94visa", "count", "biryear")
+TEXTS = ("i94addr", "visapost", "entdepa", "entdepd", "dtaddto", "gender", "airline", "fltno", "visatype")
+
+
+def _summary(column, number):
+    missing = f'"{column}" IS NULL' + (f' OR isnan("{column}")' if number else "")
+    least, greatest = (f'{f}("{column}") FILTER (NOT ({missing}))' for f in ("min", "max"))
+    none = "CAST(NULL AS {})".format("VARCHAR" if number else "DOUBLE")
+    ends = f"{least}, {greatest}, {none}, {none}" if number else f"{none}, {none}, {least}, {greatest}"
+    return f"""SELECT '{column}', count(*), count(*) FILTER ({missing}),
+      round_even(count(*) FILTER ({missing}) / count(*), 3), {ends} FROM clean"""
+
+
+@query("monthly_profile", f"""WITH {RAW}, {CLEAN.replace("clean AS (", "clean AS MATERIALIZED (", 1)},
+    p(column_name, rows, null_count, ratio_to_total, least_number, greatest_number, least_text, greatest_text) AS (
+      {" UNION ALL ".join(_summary(c, c in NUMBERS) for c in (*NUMBERS, *TEXTS))})
+    SELECT * FROM p""")
+def monthly_profile(spark, sf_dir):
+    """Profile of a lake after a refresh, from its months' summaries; only touched months were profiled."""
+    cfg = replace(_lake(spark, sf_dir), monthly=True, one_row_per_key=True)
+    raw = writers.stage_parquet(ARRIVALS.frame(spark, sf_dir), scratch_dir(spark, "raw"))
+    raw.filter(f"NOT {LATER}").write.parquet(join_path(cfg.inputs, cfg.arrivals))
+    jobs.run_arrivals(spark, cfg)
+    jobs.refresh_arrivals(raw.filter(LATER), cfg)
+    return jobs.read_profile(spark, cfg).drop("distinct")
+
+
 # Lines of the suppliers' file: some with a field too many or too few, some with a wrong value.
 LINE = """CASE WHEN s_suppkey % 13 = 0 THEN concat_ws(',', s_suppkey, s_name, s_nationkey, '1.5', 'more')
     WHEN s_suppkey % 11 = 0 THEN concat_ws(',', s_suppkey, s_name)

@@ -4,7 +4,6 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from landfall import schemas
 from landfall.operators import cleaning
 from landfall.plans import jobs, model, quality, questions, star
 from landfall.session import scratch_dir
@@ -34,14 +33,33 @@ def _names(columns):
 
 
 RAW = f"raw AS ({ARRIVALS.sql()})"
-MODEL_COLUMNS = model.arrivals_model_columns()
+# Written out, not taken from the library: a column lost there must show here.
+FACT_COLUMNS = (
+    "cicid", "arrdate", "count", "visapost", "entdepa", "entdepd", "biryear", "dtaddto", "airline", "fltno",
+    "visatype", "i94addr", "i94visa",
+)
+IMMIGRANT_COLUMNS = ("cicid", "i94cit", "i94res", "i94mode", "depdate", "i94bir", "gender")
+MODEL_COLUMNS = (
+    "cicid", "i94cit", "i94res", "arrdate", "i94mode", "i94addr", "depdate", "i94bir", "i94visa", "count",
+    "visapost", "entdepa", "entdepd", "biryear", "dtaddto", "gender", "airline", "fltno", "visatype",
+)
+CITY_COLUMNS = {
+    "City": "city", "State": "state", "Median Age": "median_age", "Male Population": "male_pop",
+    "Female Population": "female_pop", "Total Population": "total_pop", "Number of Veterans": "veteran_number",
+    "Foreign-born": "foreign_born", "Average Household Size": "avg_household_size", "State Code": "state_code",
+    "Race": "race", "Count": "count",
+}
+READING_COLUMNS = {
+    "dt": "dt", "AverageTemperature": "avg_temp", "AverageTemperatureUncertainty": "avg_temp_uncertainty",
+    "City": "city", "Country": "country", "Latitude": "latitude", "Longitude": "longitude",
+}
 CLEAN = f"""clean AS (SELECT * EXCLUDE (pick) FROM (
       SELECT {_names(MODEL_COLUMNS)}, row_number() OVER (PARTITION BY cicid ORDER BY
         {", ".join(f'"{c}" NULLS LAST' for c in MODEL_COLUMNS if c != "cicid")}) AS pick
       FROM raw WHERE cicid IS NOT NULL AND NOT isnan(cicid)) WHERE pick = 1)"""
 FACT = f"""fact AS (SELECT * REPLACE ({_date_sql('arrdate')} AS arrdate)
-      FROM (SELECT {_names(schemas.FACT_ARRIVALS.names)} FROM clean))"""
-IMMIGRANT = f"immigrant AS (SELECT {_names(schemas.DIM_IMMIGRANT.names)} FROM clean)"
+      FROM (SELECT {_names(FACT_COLUMNS)} FROM clean))"""
+IMMIGRANT = f"immigrant AS (SELECT {_names(IMMIGRANT_COLUMNS)} FROM clean)"
 
 
 def _calendar(name, source):
@@ -55,13 +73,13 @@ def _calendar(name, source):
 CALENDAR = _calendar("calendar", "clean")
 STAR = f"WITH {RAW}, {CLEAN}, {FACT}, {IMMIGRANT}, {CALENDAR}"
 DEMOGRAPHICS_ID = hash_key_sql(
-    list(model.DEMOGRAPHICS_NAMES.values()), ("median_age", "avg_household_size")
+    list(CITY_COLUMNS.values()), ("median_age", "avg_household_size")
 )
 DEMOGRAPHICS_DIM = f"""demographics_rows AS (SELECT DISTINCT * FROM ({DEMOGRAPHICS.sql()})),
-    renamed AS (SELECT {", ".join(f'"{a}" AS {b}' for a, b in model.DEMOGRAPHICS_NAMES.items())}
+    renamed AS (SELECT {", ".join(f'"{a}" AS {b}' for a, b in CITY_COLUMNS.items())}
       FROM demographics_rows),
     demographics AS (SELECT *, {DEMOGRAPHICS_ID} AS id FROM renamed)"""
-TEMPERATURES_RENAMED = ", ".join(f'"{a}" AS {b}' for a, b in model.TEMPERATURES_NAMES.items())
+TEMPERATURES_RENAMED = ", ".join(f'"{a}" AS {b}' for a, b in READING_COLUMNS.items())
 TEMPERATURES_DIM = f"{TEMPERATURES_CLEAN}, temperatures AS (SELECT {TEMPERATURES_RENAMED} FROM kept)"
 
 
@@ -310,13 +328,53 @@ query("written_top_states", f"""{STAR} SELECT i94addr, sum("count") AS sum_count
 
 # --- star joins ------------------------------------------------------------
 
-@query("join_fact_immigrant", f"""{STAR}
+JOIN_IMMIGRANT = f"""WITH {RAW}, {CLEAN.replace("clean AS (", "clean AS MATERIALIZED (", 1)},
+    f AS (SELECT cicid, {_date_sql('arrdate')} AS arrdate, "count" FROM clean),
+    i AS (SELECT cicid, i94cit, i94bir, gender FROM clean)
     SELECT f.cicid, CAST(f.arrdate AS VARCHAR) AS arrdate, f."count", i.i94cit, i.i94bir, i.gender
-    FROM fact f JOIN immigrant i ON f.cicid = i.cicid""")
+    FROM f JOIN i ON f.cicid = i.cicid"""
+JOINED = ("cicid", "arrdate", "count", "i94cit", "i94bir", "gender")
+
+
+@query("join_fact_immigrant", JOIN_IMMIGRANT)
 def join_fact_immigrant(spark, sf_dir):
     cleaned = _staged_arrivals(spark, sf_dir)
     joined = star.fact_with_immigrant(model.fact_arrivals(cleaned), model.dim_immigrant(cleaned))
-    return _iso(joined.select("cicid", "arrdate", "count", "i94cit", "i94bir", "gender"), "arrdate")
+    return _iso(joined.select(*JOINED), "arrdate")
+
+
+@query("join_fact_immigrant_bucketed", JOIN_IMMIGRANT)
+def join_fact_immigrant_bucketed(spark, sf_dir):
+    """The same from written tables that are bucketed by the id: no shuffle."""
+    cfg = replace(_lake(spark, sf_dir, **ARRIVALS_SOURCE), buckets=8)
+    jobs.run_arrivals(spark, cfg)
+    return _iso(jobs.join_fact_immigrant(spark, cfg).select(*JOINED), "arrdate")
+
+
+@query("join_fact_immigrant_full_row", f"""WITH {RAW},
+    kept AS MATERIALIZED (SELECT DISTINCT * FROM raw),
+    i AS (SELECT * FROM (SELECT cicid, i94cit, i94bir, gender, row_number() OVER (PARTITION BY cicid ORDER BY
+        {", ".join(f"{c} NULLS LAST" for c in IMMIGRANT_COLUMNS[1:])}) AS pick
+      FROM kept WHERE cicid IS NOT NULL AND NOT isnan(cicid)) WHERE pick = 1)
+    SELECT f.cicid, CAST({_date_sql('f.arrdate')} AS VARCHAR) AS arrdate, f."count", i.i94cit, i.i94bir, i.gender
+    FROM kept f JOIN i ON f.cicid = i.cicid""")
+def join_fact_immigrant_full_row(spark, sf_dir):
+    """Cleaned by whole rows: ids are missing, NaN and repeated on both sides."""
+    cleaned = writers.stage_parquet(
+        jobs.clean_arrivals(ARRIVALS.frame(spark, sf_dir), cleaning.FULL_ROW), scratch_dir(spark, "rows"))
+    joined = star.fact_with_immigrant(model.fact_arrivals(cleaned), model.dim_immigrant(cleaned))
+    return _iso(joined.select(*JOINED), "arrdate")
+
+
+@query("join_fact_calendar_quarter", f"""{STAR}
+    SELECT f.cicid, CAST(f.arrdate AS VARCHAR) AS arrdate, f.airline, c.year, c.month, c.weekday
+    FROM fact f JOIN calendar c ON f.arrdate = c.arrdate WHERE c.year = 1995 AND c.month BETWEEN 4 AND 6""")
+def join_fact_calendar_quarter(spark, sf_dir):
+    """One quarter of a monthly lake: the calendar's condition prunes the fact's folders."""
+    cfg = replace(_lake(spark, sf_dir, **ARRIVALS_SOURCE), monthly=True, one_row_per_key=True)
+    jobs.run_arrivals(spark, cfg)
+    found = jobs.fact_in_calendar(spark, cfg, "year = 1995 AND month BETWEEN 4 AND 6")
+    return _iso(found.select("cicid", "arrdate", "airline", "year", "month", "weekday"), "arrdate")
 
 
 @query("join_fact_calendar", f"""{STAR}

@@ -268,3 +268,88 @@ def test_a_job_publishes_its_broken_lines(spark, tmp_path, few):  # noqa: F811
     with pytest.raises(Exception, match="(?i)malformed"):
         jobs.run(spark, replace(cfg, csv_tolerance=None))
     assert versions.read_manifest(spark, cfg.output)[0] == 1
+
+
+# --- joins and profiles of written tables ----------------------------------
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, few, plan, rows):  # noqa: F811
+    cfg = lake(spark, tmp_path, few, buckets=4)
+    jobs.run_arrivals(spark, cfg)
+    for key, table in ((None, "dim_immigrant"), (None, "fact_i94_immigration")):
+        assert jobs.read_table(spark, cfg, table).schema == schemas.TARGETS[table]
+    joined = jobs.join_fact_immigrant(spark, cfg)
+    assert "Exchange" not in plan(joined) and "SortMergeJoin" in plan(joined)
+    fact, people = (jobs.read_table(spark, cfg, t) for t in ("fact_i94_immigration", "dim_immigrant"))
+    from landfall.plans import star
+    want = star.fact_with_immigrant(fact, people)
+    assert rows(joined.select(*want.columns)) == rows(want) and want.count() == 5
+    # By whole rows ids may repeat: people are reduced inside their buckets.
+    loose = replace(cfg, arrivals_rule=cleaning.FULL_ROW, output=str(tmp_path / "loose"))
+    few.union(few.withColumn("airline", F.lit("B")).withColumn("gender", F.lit("Z"))).write.mode("overwrite").parquet(
+        f"{cfg.inputs}/{cfg.arrivals}")
+    jobs.run_arrivals(spark, loose)
+    joined = jobs.join_fact_immigrant(spark, loose)
+    assert "Exchange" not in plan(joined) and joined.count() == 10
+
+
+def test_bucketed_tables_need_whole_ids(spark, tmp_path):
+    cfg = lake(spark, tmp_path, arrivals(spark, dict(cicid=1.5, arrdate=DAY, count=1.0)), buckets=4)
+    with pytest.raises(jobs.CheckFailed, match="whole"):
+        jobs.run_arrivals(spark, cfg)
+    with pytest.raises(ValueError, match="monthly"):
+        replace(cfg, monthly=True)
+
+
+def files_read(node):
+    """Files that the fact's scans of an executed plan have read."""
+    if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        return files_read(node.executedPlan())
+    if node.getClass().getSimpleName().endswith("QueryStageExec"):
+        return files_read(node.plan())
+    found = 0
+    if "arrival_year" in node.toString().split("\n")[0] and node.getClass().getSimpleName() == "FileSourceScanExec":
+        found = node.metrics().get("numFiles").get().value()
+    children = node.children()
+    return found + sum(files_read(children.apply(i)) for i in range(children.size()))
+
+
+def test_the_calendar_prunes_the_fact_while_the_query_runs(spark, tmp_path, few, plan):  # noqa: F811
+    cfg = lake(spark, tmp_path, few, monthly=True)
+    jobs.run_arrivals(spark, cfg)
+    for _ in range(2):  # after a refresh, the months lie in two runs' folders
+        by_month = jobs.fact_in_calendar(spark, cfg, "year = 2016 AND month = 4")
+        assert "(arrival_month" in plan(by_month).split("PartitionFilters: [")[1]
+        by_day = jobs.fact_in_calendar(spark, cfg, "id BETWEEN 20160401 AND 20160430")
+        assert "dynamicpruning" in plan(by_day)
+        for found in (by_month, by_day):
+            assert {r.cicid for r in found.collect()} == {1.0, 2.0}
+        scans = by_day._jdf.queryExecution().executedPlan()
+        assert 1 <= files_read(scans) <= 2  # one month of the fact, whose files lie in one folder
+        assert jobs.fact_in_calendar(spark, cfg, "year = 1999").count() == 0
+        jobs.refresh_arrivals(arrivals(spark, dict(cicid=9.0, arrdate=DAY + 70, count=1.0)), cfg)
+
+
+def test_profiles_of_months_merge_to_the_profile_of_all_rows(spark, tmp_path, rows):
+    def batch(low, high):
+        return spark.range(low, high).selectExpr(*[
+            f"CAST({e} AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schemas.ARRIVALS.fields
+            for e in [{"cicid": "id", "arrdate": f"{DAY} + id % 90", "gender": "IF(id % 3 = 0, NULL, string(id % 7))",
+                       "i94bir": "IF(id % 5 = 0, double('NaN'), id % 50)", "airline": "concat('A', id)"}.get(f.name, "NULL")]])
+
+    cfg = lake(spark, tmp_path, batch(0, 900), monthly=True, one_row_per_key=True)
+    jobs.run_arrivals(spark, cfg)
+    jobs.refresh_arrivals(batch(900, 1200).where("arrdate < 20570"), cfg)
+    parts = versions.table_parts(spark, cfg.output, jobs.PROFILE, jobs.ARRIVAL_MONTH)
+    assert len(set(parts.values())) == 2  # months that the batch does not touch keep their summaries
+    folders = jobs._with_folders(schemas.ARRIVALS.fields[:0], jobs.ARRIVAL_MONTH)
+    cleaned = versions.table_parts(spark, cfg.output, jobs.CLEAN_ARRIVALS, jobs.ARRIVAL_MONTH)
+    columns = [f for f in schemas.ARRIVALS.fields if f.name in model.arrivals_model_columns()]
+    whole = versions.read_parts(spark, cfg.output, cleaned, jobs._with_folders(columns, jobs.ARRIVAL_MONTH))
+    from landfall.plans import profile
+    assert rows(jobs.read_profile(spark, cfg)) == rows(profile.merged(profile.summaries(whole.drop(*folders.names))))
+    found = {r.column_name: r for r in jobs.read_profile(spark, cfg).collect()}
+    n = whole.count()
+    assert found["cicid"].rows == n and abs(found["airline"].distinct - n) < 0.05 * n and found["gender"].distinct == 7
+    assert (found["i94bir"].least_number, found["i94bir"].greatest_number) == (1.0, 49.0)
+    assert found["gender"].ratio_to_total == round(whole.where("gender IS NULL").count() / n, 3)
+    assert (found["gender"].least_text, found["occup" if "occup" in found else "visapost"].null_count) == ("0", n)
