@@ -13,6 +13,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ PRICINGS = 100
 #: A change of values may lower the dual bound by this share.
 LOSS = 1e-4
 
-PIECES = "doc_id long, piece int, start long, length long, ids array<int>, part int, nth long"
+PIECES = "doc_id long, piece int, start long, length long, ids binary, part int, nth long"
 
 
 class _Pricing:
@@ -224,42 +225,55 @@ def cut(n, capacity=CAPACITY):
 
 
 def tokenize(docs, path, capacity=CAPACITY, end_id=END_ID):
-    """The pieces of all documents (columns as in ``PIECES``).
+    """The pieces of all documents (columns as in ``PIECES``; ids as little-endian 32-bit numbers).
 
     part is the number of the task, nth counts pieces of one length within it.
     """
+    end = int(end_id).to_bytes(4, "little")
+
     def run(batches):
         encoder, seen = byte_bpe(path, specials=True), Counter()
         for batch in text_slices(batches):
-            ids, starts, rows, parts, nth = [], [], [], [], []
+            ids, starts, sizes, rows, parts, nth = [], [], [], [], [], []
             for row, text in enumerate(batch.column("text").to_pylist()):
-                whole = np.append(encoder.ids(text or ""), np.int32(end_id))
+                whole = encoder.packed(text or "") + end
                 at = 0
-                for i, n in enumerate(cut(len(whole), capacity)):
-                    ids.append(whole[at:at + n])
+                for i, n in enumerate(cut(len(whole) // 4, capacity)):
+                    ids.append(whole[4 * at:4 * (at + n)])
                     starts.append(at)
+                    sizes.append(n)
                     rows.append(row)
                     parts.append(i)
                     nth.append(seen[n])
                     seen[n] += 1
                     at += n
-            sizes = np.array([len(i) for i in ids], np.int64)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.cumsum([0, *sizes]).astype(np.int32)),
-                pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32)))
             rows = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(rows), pa.array(parts, pa.int32()), pa.array(starts, pa.int64()),
-                 pa.array(sizes), lists, batch.column("part").take(rows), pa.array(nth, pa.int64())],
+                 pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), batch.column("part").take(rows),
+                 pa.array(nth, pa.int64())],
                 names=["doc_id", "piece", "start", "length", "ids", "part", "nth"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.spark_partition_id().alias("part"))
     return rows.mapInArrow(run, PIECES)
 
 
-def pack(spark, docs, path, capacity=CAPACITY, end_id=END_ID):
+def _lists(column):
+    """Arrays of ids from their bytes."""
+    flat = np.frombuffer(b"".join(column.to_pylist()), "<i4")
+    ends = np.cumsum([0, *pc.binary_length(column).to_pylist()]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
+
+
+def _checksums(column):
+    return pa.array([zlib.crc32(ids) for ids in column.to_pylist()], pa.int64())
+
+
+def pack(spark, docs, path, capacity=CAPACITY, end_id=END_ID, checksums=False):
     """doc_id, piece, start, length, ids, sequence_id and offset: a row for every piece.
 
+    With ``checksums`` there is ids_crc32, of little-endian unsigned 32-bit ids, in place of ids.
+
     ``path`` is a byte-level BPE file. Every document's ids, and ``end_id`` behind them, stay together
     unless they exceed ``capacity``. NULL and empty texts are ``end_id`` alone. Rows are documents,
     so repeated rows, and rows without doc_id, are packed one by one; other columns play no part;
@@ -279,6 +293,8 @@ def pack(spark, docs, path, capacity=CAPACITY, end_id=END_ID):
     first = stored(spark, counts.select(
         "part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")), "first")
 
+    name, made, kind = ("ids_crc32", _checksums, "long") if checksums else ("ids", _lists, "array<int>")
+
     def place(batches):
         places = shared.value
         for batch in batches:
@@ -293,14 +309,14 @@ def pack(spark, docs, path, capacity=CAPACITY, end_id=END_ID):
                 inside = rank[rows] - low[k]
                 sequence[rows] = start[k] + inside // copies[k]
                 offset[rows] = at[k] + inside % copies[k] * n
-            kept = [batch.column(c) for c in ("doc_id", "piece", "start", "length", "ids")]
+            kept = [batch.column(c) for c in ("doc_id", "piece", "start", "length")]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(sequence), pa.array(offset)],
-                names=["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"])
+                [*kept, made(batch.column("ids")), pa.array(sequence), pa.array(offset)],
+                names=["doc_id", "piece", "start", "length", name, "sequence_id", "offset"])
 
     ranked = pieces.join(sized(first, 24), ["part", "length"]).select(
         "doc_id", "piece", "start", "length", "ids", (F.col("first") + F.col("nth")).alias("rank"))
-    return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids array<int>, "
+    return ranked.mapInArrow(place, f"doc_id long, piece int, start long, length long, {name} {kind}, "
                                     "sequence_id long, offset long")
 
 
@@ -309,17 +325,3 @@ def sequences(packed):
     parts = F.sort_array(F.collect_list(F.struct("offset", "ids")))
     return packed.groupBy("sequence_id").agg(F.flatten(F.transform(parts, lambda p: p["ids"])).alias("ids"))
 
-
-def digests(packed):
-    """The columns of ``pack`` with ids_crc32, of little-endian unsigned 32-bit ids, in place of ids."""
-    def run(batches):
-        for batch in batches:
-            ids = batch.column("ids")
-            flat = ids.flatten().to_numpy().astype("<u4")
-            ends = np.cumsum(batch.column("length").to_numpy())
-            crc = [zlib.crc32(flat[b - n:b].tobytes()) for b, n in zip(ends, batch.column("length").to_numpy())]
-            i = batch.schema.get_field_index("ids")
-            yield batch.set_column(i, "ids_crc32", pa.array(crc, pa.int64()))
-
-    return packed.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, "
-                                  "sequence_id long, offset long")

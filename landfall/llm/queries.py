@@ -300,7 +300,7 @@ WHERE part = 'pair' OR rank <= 10
 
 @query
 def op12_best_fit_packing(spark, sf_dir):
-    return packing.digests(packing.pack(spark, load(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json")))
+    return packing.pack(spark, load(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), checksums=True)
 
 
 @query

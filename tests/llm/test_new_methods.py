@@ -203,7 +203,8 @@ def test_packed_documents(spark):
         assert at <= 2048
     joined = {r["sequence_id"]: r["ids"] for r in packing.sequences(packed).collect()}
     assert joined == {s: [i for _, ids in sorted(parts) for i in ids] for s, parts in made.items()}
-    crc = Counter(r["ids_crc32"] for r in packing.digests(packed).collect())
+    crc = Counter(r["ids_crc32"] for r in packing.pack(
+        spark, clashing(spark, rows).repartition(3), BPE, checksums=True).collect())
     assert crc == Counter(zlib.crc32(np.array(r["ids"], "<u4").tobytes()) for r in got)
     assert packing.pack(spark, spark.createDataFrame([], DOC_TYPE), BPE).count() == 0
 
