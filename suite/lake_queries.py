@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from landfall.operators import cleaning
 from landfall.plans import jobs, quality
 from landfall.session import scratch_dir
-from landfall.sources import quarantine, writers
+from landfall.sources import contracts, quarantine, writers
 from landfall.sources.paths import join_path
 from suite.inputs import ARRIVALS, load
 from suite.model_queries import (
@@ -148,3 +148,19 @@ def csv_quarantine(spark, sf_dir):
     good = staged.rows.select(F.col(SUPPLIER.names[0]).cast("long").alias("supplier"),
                               F.lit(None).cast("string").alias("line"), F.lit(None).cast("string").alias("reason"))
     return good.unionByName(staged.rejected.select(F.lit(None).cast("long").alias("supplier"), "line", "reason"))
+
+
+@query("parquet_contract_per_file", """
+    SELECT folder, "column", problem, count(*) > 0 AS found FROM supplier, (VALUES
+      ('lacks', 's_acctbal', 'absent'), ('lacks', 's_name', 'absent'),
+      ('retyped', 's_nationkey', 'is string, not int')) v(folder, "column", problem) GROUP BY ALL""")
+def parquet_contract_per_file(spark, sf_dir):
+    """Folders of whole files, of files that lack columns, and of files with a column of another type."""
+    path = scratch_dir(spark, "files")
+    supplier = load(spark, sf_dir, "supplier").withColumn("s_nationkey", F.col("s_nationkey").cast("int"))
+    supplier.write.parquet(join_path(path, "whole"))
+    supplier.drop("s_acctbal", "s_name").write.parquet(join_path(path, "lacks"))
+    supplier.withColumn("s_nationkey", F.col("s_nationkey").cast("string")).write.parquet(join_path(path, "retyped"))
+    found = contracts.contract_problems(spark, path, supplier.schema)
+    folder = F.element_at(F.split("file", "/"), -2).alias("folder")
+    return found.groupBy(folder, "column", "problem").agg((F.count(F.lit(1)) > 0).alias("found"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from landfall import schemas
 from landfall.operators import cleaning
 from landfall.plans import jobs, model, quality
-from landfall.sources import quarantine, readers, versions, writers
+from landfall.sources import contracts, quarantine, readers, versions, writers
 from tests.test_model import DAY, NAN, arrivals, few, lake  # noqa: F401
 
 TABLES = ("dim_calendar", "dim_immigrant", "fact_i94_immigration")
@@ -353,3 +353,21 @@ def test_profiles_of_months_merge_to_the_profile_of_all_rows(spark, tmp_path, ro
     assert (found["i94bir"].least_number, found["i94bir"].greatest_number) == (1.0, 49.0)
     assert found["gender"].ratio_to_total == round(whole.where("gender IS NULL").count() / n, 3)
     assert (found["gender"].least_text, found["occup" if "occup" in found else "visapost"].null_count) == ("0", n)
+
+
+# --- contracts of single files ---------------------------------------------
+
+def test_files_that_break_the_contract_are_named(spark, tmp_path):
+    path = str(tmp_path / "files")
+    whole = spark.range(6).selectExpr("id", "string(id) AS s", "double(id) AS x", "date'2020-01-01' AS d",
+                                      "timestamp'2020-01-01 00:00:00' AS t", "CAST(id AS DECIMAL(12,2)) AS m")
+    whole.repartition(2).write.parquet(f"{path}/a=1")
+    whole.drop("x").withColumn("s", F.lit(1)).coalesce(1).write.parquet(f"{path}/a=2")
+    assert contracts.contract_problems(spark, f"{path}/a=1", whole.schema).count() == 0
+    found = contracts.contract_problems(spark, path, whole.schema).collect()
+    assert {(r.file.split("/")[-2], r.column, r.problem) for r in found} == {
+        ("a=2", "x", "absent"), ("a=2", "s", "is int, not string")}
+    columns = contracts.file_columns(spark, path)
+    assert columns.select("file").distinct().count() == 3 and columns.count() == 2 * 6 + 5
+    # The listing alone does not open the files.
+    assert "content" not in columns._jdf.queryExecution().executedPlan().toString()
