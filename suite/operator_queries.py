@@ -267,9 +267,10 @@ def clean_temperatures_by_key(spark, sf_dir):
     return kept.withColumn("dt", F.col("dt").cast("string"))
 
 
-DEMOGRAPHICS_KEY = ", ".join(f'"{c}"' for c in cleaning.DEMOGRAPHICS_BY_CITY.keys)
+CITY_KEY = ("City", "Male Population", "Female Population", "Foreign-born", "Average Household Size")
+DEMOGRAPHICS_KEY = ", ".join(f'"{c}"' for c in CITY_KEY)
 DEMOGRAPHICS_REST = ", ".join(
-    f'"{c}" NULLS LAST' for c in DEMOGRAPHICS.columns if c not in cleaning.DEMOGRAPHICS_BY_CITY.keys
+    f'"{c}" NULLS LAST' for c in DEMOGRAPHICS.columns if c not in CITY_KEY
 )
 
 
