@@ -78,9 +78,13 @@ def op3_chat_format(spark, sf_dir):
     return chat.read_back(chat.format_conversations(talk.union(extra)))
 
 
+#: Written out, not taken from the operator.
+CONTROLS = ("<|im_start|>", "<|im_end|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
+
+
 def _escaped(text):
     sql = f"replace({text}, '\\', '\\\\')"
-    for c in chat.CONTROLS:
+    for c in CONTROLS:
         sql = f"replace({sql}, '{c}', '{c[0]}\\{c[1:]}')"
     return sql
 
