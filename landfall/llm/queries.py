@@ -168,7 +168,7 @@ b AS (
 win AS (
   SELECT DISTINCT item_id, w[i:i + 12] AS words
   FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
-tok AS (SELECT r, unnest(w) AS term, generate_subscripts(w, 1) - 1 AS at FROM d),
+tok AS (SELECT r, unnest(w) AS term, generate_subscripts(w, 1) - 1 AS pos FROM d),
 freq AS (SELECT term, count(*) AS n FROM tok GROUP BY term),
 rarest AS (
   SELECT words, arg_min(i, n) AS o, arg_min(term, n) AS term
@@ -177,7 +177,7 @@ rarest AS (
         LEFT JOIN freq ON freq.term = words[i + 1])
   GROUP BY words),
 place AS (
-  SELECT DISTINCT r, words, at - o + unnest(range(-2, 3)) AS start
+  SELECT DISTINCT r, words, pos - o + unnest(range(-2, 3)) AS start
   FROM tok JOIN rarest USING (term))
 SELECT d.doc_id, win.item_id, CAST(start AS INTEGER) AS start
 FROM place JOIN d USING (r) JOIN win USING (words)
