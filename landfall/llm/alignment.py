@@ -48,20 +48,28 @@ def links(a, b):
             np.concatenate([over, np.flatnonzero(new)]))
 
 
-def _group_texts(a, b, cuts, n_docs):
+#: What follows an id: nothing at a document's end, an id of the same side, the other side, the next group.
+_MARKS = (b"", b",", b"|", b";")
+
+
+def id_texts(size):
+    """Every id below ``size`` in decimal with each of ``_MARKS`` behind it, padded by zero bytes."""
+    numbers = np.arange(size).astype(f"S{len(str(size))}")
+    return np.stack([np.char.add(numbers, mark).astype(f"S{len(str(size)) + 1}") for mark in _MARKS])
+
+
+def _group_texts(a, b, cuts, n_docs, table):
     """``a1,a2|b1;a3|b2,b3`` for every document: ids of both sides, group by group."""
     group = np.concatenate([2 * np.searchsorted(cuts, a.ends), 2 * np.searchsorted(cuts, b.ends) + 1])
     ids, doc = np.concatenate([a.ids, b.ids]), np.concatenate([a.doc, b.doc])
     order = np.argsort(group, kind="stable")
     group, doc = group[order], doc[order]
-    texts = list(map(str, ids[order].tolist()))
-    step = np.diff(group, append=0)
-    mark = np.where(step == 0, ",", np.where(group % 2 == 0, "|", ";"))
+    mark = np.where(np.diff(group, append=0) == 0, 1, np.where(group % 2 == 0, 2, 3))
     if len(mark):
-        mark[np.append(doc[1:] != doc[:-1], True)] = ""
-    pieces = list(map(str.__add__, texts, mark.tolist()))
+        mark[np.append(doc[1:] != doc[:-1], True)] = 0
+    texts = table[mark, ids[order]]
     ends = np.cumsum(np.bincount(doc, minlength=n_docs))
-    return ["".join(pieces[lo:hi]) for lo, hi in zip(np.r_[0, ends[:-1]], ends)]
+    return [texts[lo:hi].tobytes().translate(None, b"\0").decode() for lo, hi in zip(np.r_[0, ends[:-1]], ends)]
 
 
 class Aligner:
@@ -71,6 +79,7 @@ class Aligner:
         self.one, self.two = byte_bpe(path_a), PieceBpe(path_b)
         self.names_a, self.names_b = self.one.token_bytes(), self.two.token_bytes()
         self.sizes_a, self.sizes_b = (np.array([len(n) for n in names]) for names in (self.names_a, self.names_b))
+        self.texts = id_texts(max(len(self.names_a), len(self.names_b)))
 
     def encode(self, texts):
         """Ids of both sides; none for texts that either side does not give back byte by byte."""
@@ -81,7 +90,7 @@ class Aligner:
             want = f" {texts[i]}".encode()
             if b"".join(map(self.names_b.__getitem__, b.tolist())) == want:
                 a = self.one.ids(f" {texts[i]}")
-                if b"".join(map(self.names_a.__getitem__, a.tolist())) == want:
+                if self.one.whole or b"".join(map(self.names_a.__getitem__, a.tolist())) == want:
                     ids_a[i], ids_b[i] = a, b
         return ids_a, ids_b
 
@@ -92,7 +101,8 @@ class Aligner:
         """
         ids_a, ids_b = self.encode(texts)
         a, b = _Side(ids_a, self.names_a, self.sizes_a), _Side(ids_b, self.names_b, self.sizes_b)
-        cuts = np.intersect1d(a.ends, b.ends, assume_unique=True)
+        at = np.minimum(np.searchsorted(b.ends, a.ends), max(len(b.ends) - 1, 0))
+        cuts = a.ends[b.ends[at] == a.ends]  # ends are sorted on both sides
         at_a, at_b = links(a, b)
         doc = a.doc[at_a]
         pair = a.ids[at_a].astype(np.int64) * len(self.names_b) + b.ids[at_b]
@@ -101,7 +111,7 @@ class Aligner:
         n_docs = len(texts)
         return (
             a.counts, b.counts, np.bincount(a.doc[np.searchsorted(a.ends, cuts)], minlength=n_docs),
-            np.bincount(doc, minlength=n_docs), _group_texts(a, b, cuts, n_docs),
+            np.bincount(doc, minlength=n_docs), _group_texts(a, b, cuts, n_docs, self.texts),
             (np.cumsum(np.r_[0, np.bincount(doc_of, minlength=n_docs)]),
              pair // len(self.names_b), pair % len(self.names_b), n))
 

@@ -60,6 +60,8 @@ class ByteBpe:
                           told["model"]["type"], told["model"]["dropout"]) == ("ByteLevel", True, False, None, "BPE", None)
         self._marks = [t["content"] for t in told["added_tokens"] if specials or not t["special"]]
         self._known = _Words(self._whole.model)
+        #: Every byte has an entry, so the bytes of a text's tokens are those of the text.
+        self.whole = self._by_words and not self._marks and set(byte_letters()) <= self._whole.get_vocab().keys()
         self.size = self._whole.get_vocab_size()
 
     def packed(self, text):
