@@ -112,24 +112,33 @@ def proximity_matches(spark, docs, items, slop, width=WINDOW):
     windows = stored(spark, item_windows(items, width), "item-windows")
     plans, index = build_index(spark, docs, windows)
     words = stored(spark, windows.groupBy("key").agg(F.first("words").alias("words")), "window-words")
+    at = F.col("at") - F.col("o1")
     places = index.join(_small_plans(plans), F.col("term") == F.col("t1")).select(
-        "print", "key", F.explode(F.sequence(F.col("at") - F.col("o1") - slop, F.col("at") - F.col("o1") + slop)).alias("start"))
-    places = places.where("start >= 0").distinct().join(
+        "print", "key", F.explode(F.sequence(at - slop, at + slop)).alias("start")).where("start >= 0")
+    places = places.groupBy("print", "key").agg(F.collect_set("start").alias("starts")).join(
         sized(words, F.aggregate("words", F.lit(64), lambda n, w: n + F.octet_length(w) + 24)), "key")
     places = stored(spark, places.groupBy("print").agg(
-        F.collect_list(F.struct("start", "key", "words")).alias("open")), "places")
-    rows = docs.withColumn("print", text_print(F.col("text"))).join(places, "print").select(
-        "doc_id", words_of(F.col("text")).alias("w"), F.explode("open").alias("o"))
-
-    def stands(word, i):
-        low = F.greatest(F.col("o.start") + i - slop, F.lit(0))
-        return F.array_contains(F.slice(F.col("w"), low + 1, F.col("o.start") + i + slop - low + 1), word)
-
-    whole = F.aggregate(F.transform("o.words", stands), F.lit(True), lambda a, b: a & b)
-    found = rows.where((F.col("o.start") + F.size("o.words") <= F.size("w")) & whole)
+        F.collect_list(F.struct("key", "words", "starts")).alias("open")).withColumnRenamed("print", "of"), "places")
+    room = F.aggregate("open", F.lit(96).cast("long"), lambda n, o: n + 64 + 8 * F.size(o["starts"]) + F.aggregate(
+        o["words"], F.lit(0).cast("long"), lambda m, w: m + F.octet_length(w) + 24))
+    rows = docs.withColumn("print", text_print(F.col("text"))).join(sized(places, room), F.col("print") == F.col("of"))
+
+    def near(w, start, word, i):
+        low = F.greatest(start + i - slop, F.lit(0))
+        return F.array_contains(F.slice(w, low + 1, start + i + slop - low + 1), word)
+
+    def stands(w, words, start):
+        numbers = F.sequence(F.lit(0), F.size(words) - 1)
+        return (start + F.size(words) <= F.size(w)) & F.forall(numbers, lambda i: near(w, start, F.get(words, i), i))
+
+    # The words are a lambda's argument, so that a text is split once and not anew for every place.
+    found = F.transform(F.array(words_of(F.col("text"))), lambda w: F.transform("open", lambda o: F.struct(
+        o["key"].alias("key"), F.filter(o["starts"], lambda start: stands(w, o["words"], start)).alias("starts"))))
+    found = stored(spark, rows.select("doc_id", F.explode(F.filter(
+        F.get(found, 0), lambda o: F.size(o["starts"]) > 0)).alias("o")).select("doc_id", "o.*"), "found")
     owned = stored(spark, windows.select("item_id", F.col("key").alias("owned")).distinct(), "owned")
-    return found.select("doc_id", F.col("o.key").alias("key"), F.col("o.start").alias("start")).join(
-        sized(owned, 64), F.col("key") == F.col("owned")).select("doc_id", "item_id", "start")
+    return found.join(sized(owned, 64), F.col("key") == F.col("owned")).select(
+        "doc_id", "item_id", F.explode("starts").alias("start"))
 
 
 def exact_matches(spark, docs, items, width=WINDOW):

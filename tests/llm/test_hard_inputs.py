@@ -330,3 +330,12 @@ def test_proximity_equals_trying_every_place(spark):
             spark, spark.createDataFrame(docs, "doc_id long, text string"),
             spark.createDataFrame(items, "item_id long, text string"), slop, width)
         assert Counter(map(tuple, got.collect())) == want
+
+
+def test_a_long_text_with_many_places_is_split_once(spark):
+    text = " ".join(f"other{i} rare{'' if i % 10 else ' next'}" for i in range(20_000))
+    docs = spark.createDataFrame([(1, text), (1, text)], "doc_id long, text string")
+    items = spark.createDataFrame([(5, "rare next")], "item_id long, text string")
+    runs = []
+    assert seconds(lambda: runs.append(decontam.proximity_matches(spark, docs, items, 0).collect())) < 40
+    assert len(runs[0]) == 2 * 2_000 and len(set(runs[0])) == 2_000
