@@ -2,9 +2,10 @@
 
 A template is any function from turns to text. Successive prefixes of a conversation are
 rendered and consecutive outputs compared: what a prefix adds is the span of its last turn, and an
-output that does not begin with the one before it shows a template that rewrites history. That takes
-time in the square of a conversation's length. A template may therefore offer a step as well, which
-renders one turn after another; it is believed only where it gives the same as the black box.
+output that does not begin with the one before it shows a template that rewrites history. Every prefix
+of every conversation is rendered. A template that can go on from the prefix that it rendered last
+(``Resumed``) makes that cheap without the operator's help. A template may also offer its step, which
+renders one turn after another, for ``locate_by_steps``.
 """
 
 import hashlib
@@ -50,6 +51,39 @@ def _chatml_turn(state, turn):
     return f"<|im_start|>{head}\n{escape(text)}<|im_end|>\n", state
 
 
+class Resumed:
+    """A template made of a step: turns are rendered behind ``opening``.
+
+    It remembers the turns of its last call, and renders only those that differ from there on. What it
+    returns depends on the turns alone.
+    """
+
+    def __init__(self, step, opening=""):
+        self.step, self.opening = step, opening
+        self._turns, self._states, self._ends, self._output = [], [None], [len(opening)], opening
+
+    def __reduce__(self):
+        return Resumed, (self.step, self.opening)
+
+    def __call__(self, turns):
+        # One turn after those of the last call, or another last turn: other calls begin anew.
+        for n in (len(self._turns), len(self._turns) - 1):
+            if 0 <= n <= len(turns) and turns[:n] == self._turns[:n]:
+                break
+        else:
+            n = 0
+        del self._turns[n:], self._states[n + 1:], self._ends[n + 1:]
+        pieces = [self._output[:self._ends[n]]]
+        for turn in turns[n:]:
+            piece, state = self.step(self._states[-1], turn)
+            pieces.append(piece)
+            self._turns.append(turn)
+            self._states.append(state)
+            self._ends.append(self._ends[-1] + len(piece))
+        self._output = "".join(pieces)
+        return self._output
+
+
 def chatml(turns):
     return "".join(_chatml_turn(None, turn)[0] for turn in turns)
 
@@ -69,7 +103,8 @@ def inst(turns):
     return "<s>" + "".join(_inst_turn(None, turn)[0] for turn in turns)
 
 
-TEMPLATES = {"chatml": Template(chatml, _chatml_turn), "inst": Template(inst, _inst_turn)}
+TEMPLATES = {
+    "chatml": Template(Resumed(_chatml_turn), _chatml_turn), "inst": Template(Resumed(_inst_turn, "<s>"), _inst_turn)}
 
 
 def _common(a, b):
@@ -99,7 +134,9 @@ def locate(render, turns):
             rewrites.append(i)
             start = _common(output, now)
         one, two = (render([*before, (turns[i][0], p)]) for p in _PROBES)
-        head = _common(one, two)
+        # What both share with the prefix before needs no search.
+        known = len(output) if one.startswith(output) and two.startswith(output) else 0
+        head = known + _common(one[known:], two[known:])
         tail = _common(one[head:][::-1], two[head:][::-1])
         spans.append((start, len(now), head, max(head, len(now) - tail)))
         output = now
@@ -146,9 +183,9 @@ def format_conversations(conversations, template="chatml"):
     ``template`` is a name in ``TEMPLATES``, a ``Template``, or a function from (role, text) pairs to text. Rows are
     ordered by turn, then role and text (NULL first), so ties and repeated rows have one order.
     NULL role and text are empty; rows without conv_id form one conversation; other columns play
-    no part. The span of an assistant's text has loss set. A template without a step, or whose step
-    does not agree with it, takes time in the square of a conversation's length; rows of one
-    conversation meet in one row.
+    no part. The span of an assistant's text has loss set. Every prefix is rendered by the template and
+    compared with the one before; a step that the template offers plays no part here. Characters compared
+    grow with the square of a conversation's length; rows of one conversation meet in one row.
     """
     template = TEMPLATES[template] if isinstance(template, str) else template
     if not isinstance(template, Template):
@@ -167,8 +204,7 @@ def format_conversations(conversations, template="chatml"):
                 outputs, spans, rewrites = [], [], []
                 for turns in part.column("turns").to_pylist():
                     turns = [(t["role"], t["text"]) for t in turns]
-                    found = locate_by_steps(template, turns) if template.step else None
-                    output, places, changed = found or locate(template.render, turns)
+                    output, places, changed = locate(template.render, turns)
                     outputs.append(output)
                     spans.append([(r, *p, r == "assistant") for (r, _), p in zip(turns, places)])
                     rewrites.append(changed)

@@ -159,6 +159,25 @@ def test_steps_that_disagree_are_not_believed(spark):
     assert row["formatted"] == thoughts(turns) and row["rewrites"] == [1, 2]
 
 
+def test_every_prefix_is_rendered(spark):
+    def render(turns):  # rewrites history at three turns only, where no step is ever compared
+        return "".join(f"<{r.upper() if len(turns) == 3 else r}>{t}" for r, t in turns)
+
+    template = chat.Template(render, lambda state, turn: (f"<{turn[0]}>{turn[1]}", state))
+    df = spark.range(5).selectExpr("1L AS conv_id", "id AS turn", "IF(id % 2 = 0, 'user', 'assistant') AS role", "'x' AS text")
+    row = chat.format_conversations(df, template).first()
+    assert row["rewrites"] == [2, 3]
+
+
+def test_a_resumed_template_depends_on_its_turns_alone():
+    rng = np.random.default_rng(27)
+    calls = [[("user", "a"), ("assistant", "b")][:n] + [("user", t)] * n for n in (0, 1, 2) for t in ("</s>", "\\", "")]
+    for name, plain in (("chatml", chat.chatml), ("inst", chat.inst)):
+        for i in rng.integers(0, len(calls), 60):
+            turns = calls[i]
+            assert chat.TEMPLATES[name].render(turns) == plain(turns)
+
+
 def test_a_long_conversation_in_linear_time(spark):
     template = chat.TEMPLATES["chatml"]
     turns = [("user" if i % 2 == 0 else "assistant", f"turn {i}") for i in range(20_000)]
