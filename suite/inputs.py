@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
+from landfall.functions.names import fresh
 from landfall.sources.labels import parse_labels
 
 SPARK_WORDS = {
@@ -43,14 +44,19 @@ class View:
             yield condition, {**self.columns, **changed}
 
     def frame(self, spark, sf_dir):
+        """One scan of the table: a row and its copies come from the same task."""
         words = {"DAYS": SPARK_WORDS["DAYS"].format(self.date), "NAN": SPARK_WORDS["NAN"]}
-        result = None
-        for condition, columns in self._parts():
-            part = load(spark, sf_dir, self.table).filter(condition).select(
-                [F.expr(e.format(**words)).alias(n) for n, e in columns.items()]
-            )
-            result = part if result is None else result.unionByName(part)
-        return result
+        rows = load(spark, sf_dir, self.table)
+        copy, copies = fresh("_copy", rows), [F.lit(0)]
+        for i, (condition, _) in enumerate(self.repeats, 1):
+            copies.append(F.when(F.expr(condition), i))
+        if self.repeats:
+            rows = rows.withColumn(copy, F.explode(F.array_compact(F.array(*copies))))
+        columns = {n: F.expr(e.format(**words)) for n, e in self.columns.items()}
+        for i, (_, changed) in enumerate(self.repeats, 1):
+            for n, e in changed.items():
+                columns[n] = F.when(F.col(copy) == i, F.expr(e.format(**words))).otherwise(columns[n])
+        return rows.select([c.alias(n) for n, c in columns.items()])
 
     def sql(self):
         words = {"DAYS": CHECK_WORDS["DAYS"].format(self.date), "NAN": CHECK_WORDS["NAN"]}
