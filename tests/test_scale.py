@@ -22,3 +22,23 @@ def test_a_view_reads_its_table_once(spark, tmp_path, plan, rows):
     base = [(i, None if i % 5 == 0 else "a", i * 2) for i in range(20)]
     copies = [r for r in base if r[0] % 2 == 0] + [(r[0], "b", r[2]) for r in base if r[0] % 3 == 0]
     assert rows(got) == sorted(base + copies, key=repr)
+
+
+def test_quality_report_shuffles_hashes_only(spark, plan):
+    df = spark.createDataFrame(
+        [(1, None, 0.0), (1, None, -0.0), (None, 1, 2.0), (None, None, float("nan")), (None, None, float("nan"))],
+        "a long, b long, c double")
+    report = quality.quality_report(df, "t")
+    assert report.first()[:3] == ("t", 5, 2)
+    assert all(line.split("hashpartitioning(")[1].startswith("hash_1") for line in plan(report).splitlines()
+               if "hashpartitioning(" in line)
+
+
+def test_fingerprint_is_the_exact_sum_of_the_hashes(spark, plan):
+    df = spark.range(5_000).select("id", F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("t"))
+    columns = [F.col("id"), F.col("t"), F.col("id").isNull(), F.col("t").isNull()]
+    found = df.select(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(1), *columns).alias("b")).collect()
+    content = quality.content(df)
+    assert tuple(map(int, content.first())) == (5_000, sum(r.a for r in found), sum(r.b for r in found))
+    assert tuple(map(int, quality.content(df.limit(0)).first())) == (0, 0, 0)
+    assert "sum(cast(xxhash64" not in plan(content)
