@@ -42,3 +42,19 @@ def test_fingerprint_is_the_exact_sum_of_the_hashes(spark, plan):
     assert tuple(map(int, content.first())) == (5_000, sum(r.a for r in found), sum(r.b for r in found))
     assert tuple(map(int, quality.content(df.limit(0)).first())) == (0, 0, 0)
     assert "sum(cast(xxhash64" not in plan(content)
+
+
+def test_many_suspects_are_compared_without_a_join(spark, monkeypatch):
+    monkeypatch.setattr(quality, "BROADCAST_LIMIT", 0)
+    monkeypatch.setattr(DataFrame, "join", lambda *_: pytest.fail("rows are shuffled twice"))
+    df = spark.range(20).selectExpr("id % 15 AS id", "NULL AS t")
+    assert quality.check_table(df, "t")[:4] == ("t", 20, 5, "failed")
+
+
+ARRIVED = [(float(c), float(d), "CA") for c, d in ((1, 12000), (2, 12000), (2, 12000), (3, 12040), (4, 12000))]
+
+
+def _arrivals(spark, rows):
+    df = spark.createDataFrame(rows, "cicid double, arrdate double, i94addr string")
+    return df.select([F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                      for f in jobs.schemas.ARRIVALS.fields])
