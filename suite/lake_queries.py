@@ -35,7 +35,7 @@ def job_failed_check_keeps_old(spark, sf_dir):
     UNION ALL SELECT 'one row for another', count(*), count(*), FALSE FROM raw""")
 def source_target_content(spark, sf_dir):
     source = writers.stage_parquet(ARRIVALS.frame(spark, sf_dir), scratch_dir(spark, "source"))
-    target = writers.stage_parquet(source.orderBy("dtaddto"), scratch_dir(spark, "target"))
+    target = writers.stage_parquet(source.sortWithinPartitions("dtaddto"), scratch_dir(spark, "target"))
     first = target.where("cicid > 0").agg(F.min("cicid")).first()[0]
     changed = target.withColumn("insnum", F.when(F.col("cicid") == first, "other").otherwise(F.col("insnum")))
     again = target.where(f"cicid IS NULL OR cicid <> {first}").union(
