@@ -158,8 +158,11 @@ def _with_key(schema):
     return T.StructType([*schema.fields, T.StructField(BUCKET_KEY, T.LongType())])
 
 
-def _write(df, cfg, run, table, partitions=(), measures=None, sorted_by=()):
-    """Write a new version of a table: (parts, rows as they are read back, what was measured)."""
+def _write(df, cfg, run, table, partitions=(), measures=None, sorted_by=(), grouped=False):
+    """Write a new version of a table: (parts, rows as they are read back, what was measured).
+
+    ``grouped`` rows are read from a table of the same partitions.
+    """
     spark, folder = df.sparkSession, f"{table}/{run}"
     path = join_path(cfg.output, folder)
     if cfg.buckets and table in BUCKETED:
@@ -170,13 +173,13 @@ def _write(df, cfg, run, table, partitions=(), measures=None, sorted_by=()):
         if measured.pop("inexact"):
             raise CheckFailed(f"{table}: cicid holds numbers that are not whole")
     else:
-        measured = writers.write_measured(df, path, measures, partitions, sorted_by)
+        measured = writers.write_measured(df, path, measures, partitions, sorted_by, grouped)
     parts = versions.written_parts(spark, cfg.output, folder, partitions)
     stored = versions.read_parts(spark, cfg.output, parts, _with_folders(df.schema.fields, partitions))
     return parts, stored, measured
 
 
-def _write_and_check(df, cfg, run, table, partitions=(), keys=None):
+def _write_and_check(df, cfg, run, table, partitions=(), keys=None, grouped=False):
     """(parts, check) of a new version of a target table.
 
     What is read back must equal, row for row, what went into the files. ``keys`` are tried first
@@ -188,7 +191,7 @@ def _write_and_check(df, cfg, run, table, partitions=(), keys=None):
     if problems:
         raise CheckFailed(f"{table}: {'; '.join(problems)}")
     parts, stored, measured = _write(
-        df, cfg, run, table, partitions, quality.fingerprint(df.select(*contract.names)))
+        df, cfg, run, table, partitions, quality.fingerprint(df.select(*contract.names)), grouped=grouped)
     stored = stored.select(*contract.names)
     back = quality.content(stored).first().asDict()
     if back != measured:
@@ -196,10 +199,11 @@ def _write_and_check(df, cfg, run, table, partitions=(), keys=None):
     return parts, quality.check_table(stored, table, keys)
 
 
-def clean_arrivals(raw, rule, monthly=False, flow=None, one_row_per_key=False):
+def clean_arrivals(raw, rule, monthly=False, flow=None, one_row_per_key=False, repeats=False):
     """Cleaned arrivals. With a row key, columns that no target reads are never scanned.
 
     ``monthly`` adds the month of arrival and makes it part of the row key, unless ``one_row_per_key``.
+    ``repeats`` keeps rows that repeat, for a caller that removes them later.
     """
     if rule.keys:
         wanted = set(model.arrivals_model_columns()) | set(rule.keys) | set(rule.required or ())
@@ -207,6 +211,8 @@ def clean_arrivals(raw, rule, monthly=False, flow=None, one_row_per_key=False):
     if monthly:
         raw = _with_month(raw, day_number_to_date(F.col("arrdate")), ARRIVAL_MONTH)
         rule = _monthly_rule(rule, one_row_per_key)
+    if repeats:
+        return cleaning.drop_empty_rows(raw.drop(*rule.drop_cols), list(rule.required) if rule.required else None)
     return rule(raw, flow) if flow else rule(raw)
 
 
@@ -320,8 +326,10 @@ def _arrivals_tables(spark, cfg, run, cleaned):
         "dim_immigrant": (model.dim_immigrant(cleaned, folders), folders, keys),
         "fact_i94_immigration": (model.fact_arrivals(cleaned, folders), folders, keys),
     }
+    # In a monthly lake the cleaned arrivals are read month by month: their rows stay where they are.
     done = _side_by_side(spark, *[
-        lambda table=table, df=df, parts=parts, by=by: _write_and_check(df, cfg, run, table, parts, by)
+        lambda table=table, df=df, parts=parts, by=by: _write_and_check(
+            df, cfg, run, table, parts, by, parts == ARRIVAL_MONTH)
         for table, (df, parts, by) in frames.items()])
     return dict(zip(frames, done))
 
@@ -481,14 +489,14 @@ def refresh_arrivals(batch, cfg):
     """Merge the raw arrivals ``batch`` into the months that it touches; the others stay unread.
 
     The cleaning rule runs over stored and new rows of a month together, so the tables equal those
-    of a whole run over all rows. With ``one_row_per_key`` the stored months of the batch's keys are
+    of a whole run over all rows; there rows that repeat within the batch's months go as well. With ``one_row_per_key`` the stored months of the batch's keys are
     touched too. Merging a batch twice changes nothing. All tables are published at once, and
     only if their checks pass. Returns checks of the touched months; none for a batch without rows.
     """
     _needs_months(cfg)
     spark, run_name, rule = batch.sparkSession, versions.new_run(), cfg.arrivals_rule
     new = readers.conform(batch, schemas.ARRIVALS, "the batch")
-    new = clean_arrivals(new, rule, True, one_row_per_key=cfg.one_row_per_key)
+    new = clean_arrivals(new, rule, True, one_row_per_key=cfg.one_row_per_key, repeats=not cfg.one_row_per_key)
     staged = join_path(cfg.staging, f"arrivals-{run_name}")
     new = writers.stage_parquet(new, staged)
     months = _months(new, ARRIVAL_MONTH)

@@ -11,14 +11,16 @@ def observed(df, measures=None):
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), *named), seen
 
 
-def write_measured(df, path, measures=None, partitions=(), sorted_by=()):
+def write_measured(df, path, measures=None, partitions=(), sorted_by=(), grouped=False):
     """Replace the dataset at ``path``; a dict of ``rows`` and the aggregates ``measures``.
 
     They are computed over the rows on their way into the files, without another pass. The files of
     a partitioned dataset are sorted by ``sorted_by``, so that their statistics narrow a search.
+    ``grouped`` says that the rows are read from a dataset of the same partitions: its tasks hold few
+    partitions each, and the rows are written where they are read, without a shuffle.
     """
     if partitions:
-        writer, seen = _partition_writer(df, partitions, measures, sorted_by)
+        writer, seen = _partition_writer(df, partitions, measures, sorted_by, grouped)
         writer.option("partitionOverwriteMode", "static").parquet(path)
     else:
         counted, seen = observed(df, measures)
@@ -38,10 +40,11 @@ def write_table(df, path):
     return write_measured(df, path)["rows"]
 
 
-def _partition_writer(df, columns, measures=None, sorted_by=()):
+def _partition_writer(df, columns, measures=None, sorted_by=(), grouped=False):
     # Rebalancing groups rows by the partition columns to avoid many small files, but
     # adaptive execution still splits a partition that is far larger than the others.
-    df = df.hint("rebalance", *columns)
+    if not grouped:
+        df = df.hint("rebalance", *columns)
     if sorted_by:
         df = df.sortWithinPartitions(*columns, *sorted_by)
     counted, seen = observed(df, measures)

@@ -58,3 +58,28 @@ def _arrivals(spark, rows):
     df = spark.createDataFrame(rows, "cicid double, arrdate double, i94addr string")
     return df.select([F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
                       for f in jobs.schemas.ARRIVALS.fields])
+
+
+def test_monthly_tables_are_written_where_their_rows_are_read(spark, tmp_path, monkeypatch, rows):
+    cfg = jobs.LakeConfig(f"{tmp_path}/out", f"{tmp_path}/staging", f"{tmp_path}/in", monthly=True)
+    _arrivals(spark, ARRIVED[:2]).write.parquet(f"{tmp_path}/in/{cfg.arrivals}")
+    seen, write = [], writers._partition_writer
+
+    def spy(df, columns, measures=None, sorted_by=(), grouped=False):
+        seen.append((tuple(columns), grouped, "rebalance" in df._jdf.queryExecution().analyzed().toString().lower()))
+        return write(df, columns, measures, sorted_by, grouped)
+
+    monkeypatch.setattr(writers, "_partition_writer", spy)
+    jobs.run_arrivals(spark, cfg)
+    assert sum(grouped for columns, grouped, _ in seen if columns == jobs.ARRIVAL_MONTH) == 2
+    assert not any(hinted for _, _, hinted in seen)
+    jobs.refresh_arrivals(_arrivals(spark, ARRIVED[1:]), cfg)
+    fact = jobs.read_table(spark, cfg, "fact_i94_immigration").select("cicid", F.col("arrdate").cast("string"))
+    assert rows(fact) == [(1.0, "1992-11-08"), (2.0, "1992-11-08"), (3.0, "1992-12-18"), (4.0, "1992-11-08")]
+
+
+def test_a_batch_whose_months_are_merged_is_not_cleaned_twice(spark, plan):
+    raw = _arrivals(spark, ARRIVED + [(None, 12000.0, "CA")])
+    kept = jobs.clean_arrivals(raw, cleaning.ARRIVALS_BY_ID, True, repeats=True)
+    assert "Window" not in plan(kept) and kept.count() == 5
+    assert jobs.clean_arrivals(raw, replace(cleaning.ARRIVALS_BY_ID), True).count() == 4
