@@ -161,7 +161,7 @@ def _with_key(schema):
 def _write(df, cfg, run, table, partitions=(), measures=None, sorted_by=(), grouped=False):
     """Write a new version of a table: (parts, rows as they are read back, what was measured).
 
-    ``grouped`` rows are read from a table of the same partitions.
+    ``grouped`` rows are read from a table of the same partitions, or that lies by the bucket key.
     """
     spark, folder = df.sparkSession, f"{table}/{run}"
     path = join_path(cfg.output, folder)
@@ -169,7 +169,8 @@ def _write(df, cfg, run, table, partitions=(), measures=None, sorted_by=(), grou
         # The key must be exact: an id with a fraction has none, and would be lost to the join.
         exact = F.count_if(F.col(BUCKET_KEY).isNull() & is_present(df, "cicid"))
         df = df.withColumn(BUCKET_KEY, bucketed.integral(F.col("cicid")))
-        measured = bucketed.write_bucketed(df, path, BUCKET_KEY, cfg.buckets, (measures or {}) | {"inexact": exact})
+        measured = bucketed.write_bucketed(
+            df, path, BUCKET_KEY, cfg.buckets, (measures or {}) | {"inexact": exact}, grouped)
         if measured.pop("inexact"):
             raise CheckFailed(f"{table}: cicid holds numbers that are not whole")
     else:
@@ -280,11 +281,30 @@ def _emptied(df, columns):
     return df.withColumns({c: F.lit(None).cast(df.schema[c].dataType) for c in columns})
 
 
+def _lies_by_bucket_key(cfg):
+    """Whether cleaning leaves the arrivals by the hash of their bucket key: all have a cicid, one row each."""
+    rule = cfg.arrivals_rule
+    return bool(cfg.buckets) and isinstance(rule, cleaning.CleanRule) and rule.keys == rule.required == ("cicid",)
+
+
+def _clean_by_bucket_key(raw, rule, flow):
+    """The same rows, with cleaning's shuffle by the key of the buckets, so that writing these needs none.
+
+    Ids that are not whole share a missing key. One of them is left then, and fails the write.
+    """
+    raw = raw.withColumn(BUCKET_KEY, bucketed.integral(F.col("cicid")))
+    rule = replace(rule, keys=(BUCKET_KEY,), first_by=tuple(c for c in rule.first_by if c != "cicid"))
+    return clean_arrivals(raw, rule, flow=flow).drop(BUCKET_KEY)
+
+
 def _arrivals(spark, cfg, run):
     raw = readers.read_arrivals(spark, join_path(cfg.inputs, cfg.arrivals))
     rule = cfg.arrivals_rule
     flow = _flow_of("arrivals", rule)
-    cleaned = clean_arrivals(raw, rule, cfg.monthly, flow, cfg.one_row_per_key)
+    if _lies_by_bucket_key(cfg):
+        cleaned = _clean_by_bucket_key(raw, rule, flow)
+    else:
+        cleaned = clean_arrivals(raw, rule, cfg.monthly, flow, cfg.one_row_per_key)
     thresh = getattr(rule, "thresh", None)
     measures = cleaning.missing_counts(cleaned) if thresh is not None else None
     tables, staged, columns = {}, None, cleaned.columns
@@ -326,10 +346,10 @@ def _arrivals_tables(spark, cfg, run, cleaned):
         "dim_immigrant": (model.dim_immigrant(cleaned, folders), folders, keys),
         "fact_i94_immigration": (model.fact_arrivals(cleaned, folders), folders, keys),
     }
-    # In a monthly lake the cleaned arrivals are read month by month: their rows stay where they are.
+    # Cleaned arrivals that are read month by month, or by the bucket key, stay where they are.
     done = _side_by_side(spark, *[
         lambda table=table, df=df, parts=parts, by=by: _write_and_check(
-            df, cfg, run, table, parts, by, parts == ARRIVAL_MONTH)
+            df, cfg, run, table, parts, by, parts == ARRIVAL_MONTH or _lies_by_bucket_key(cfg))
         for table, (df, parts, by) in frames.items()])
     return dict(zip(frames, done))
 

@@ -22,13 +22,16 @@ def integral(column):
     return F.when(whole, column.cast("long"))
 
 
-def write_bucketed(df, path, key, buckets, measures=None):
+def write_bucketed(df, path, key, buckets, measures=None, grouped=False):
     """Replace the dataset at ``path``, one sorted file a bucket; rows and ``measures`` as a dict.
 
     Rows without a key share one bucket. The number of buckets stays for the table's life: choose it so
-    that a bucket of the full-grown table fits a task.
+    that a bucket of the full-grown table fits a task. ``grouped`` rows lie by the hash of the key
+    already and are written where they are read: a bucket then has several sorted files.
     """
-    counted, seen = writers.observed(df.repartition(buckets, F.col(quoted(key))), measures)
+    if not grouped:
+        df = df.repartition(buckets, F.col(quoted(key)))
+    counted, seen = writers.observed(df, measures)
     name = _name(path)
     df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
     counted.write.format("parquet").mode("overwrite").bucketBy(buckets, key).sortBy(key).option(

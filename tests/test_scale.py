@@ -83,3 +83,31 @@ def test_a_batch_whose_months_are_merged_is_not_cleaned_twice(spark, plan):
     kept = jobs.clean_arrivals(raw, cleaning.ARRIVALS_BY_ID, True, repeats=True)
     assert "Window" not in plan(kept) and kept.count() == 5
     assert jobs.clean_arrivals(raw, replace(cleaning.ARRIVALS_BY_ID), True).count() == 4
+
+
+def test_bucketed_tables_are_written_where_their_rows_are_read(spark, tmp_path, monkeypatch, plan, rows):
+    cfg = jobs.LakeConfig(f"{tmp_path}/out", f"{tmp_path}/staging", f"{tmp_path}/in", buckets=3)
+    raw = [(None, 12000.0, "CA"), (-0.0, 12001.0, "NV"), (0.0, 12000.0, "CA"), (float("nan"), 12000.0, "CA")]
+    raw += [(float(c % 40), 12000.0 + c, "CA") for c in range(60)]
+    _arrivals(spark, raw).repartition(4).write.parquet(f"{tmp_path}/in/{cfg.arrivals}")
+    want = jobs.clean_arrivals(_arrivals(spark, raw), cleaning.ARRIVALS_BY_ID).selectExpr(
+        "cicid + 0.0 AS cicid", "CAST(date_add(DATE '1960-01-01', CAST(arrdate AS INT)) AS STRING) AS arrdate")
+    # Several files a bucket: adaptive execution would leave one task.
+    monkeypatch.setattr(DataFrame, "repartition", lambda *_: pytest.fail("cleaned rows are shuffled again"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.files.openCostInBytes", "64m")
+    try:
+        report = jobs.run(spark, cfg, ("arrivals",))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert report.flows[0][1:] == (64, 2, 22, 40) and report.manifest == 1
+    joined = jobs.join_fact_immigrant(spark, cfg)
+    assert "Exchange" not in plan(joined)
+    files = [f.rsplit("_", 1)[1] for f in jobs.read_table(spark, cfg, "dim_immigrant").inputFiles()]
+    assert len(files) > len({f.split(".")[0] for f in files}) == 3
+    assert rows(joined.selectExpr("cicid + 0.0 AS cicid", "CAST(arrdate AS STRING) AS arrdate")) == rows(want)
+    # Ids that are not whole still fail the job, though they share a missing key.
+    _arrivals(spark, [(1.5, 12000.0, "CA"), (2.5, 12000.0, "CA"), (3.0, 12000.0, "CA")]).write.parquet(f"{tmp_path}/in/odd")
+    with pytest.raises(jobs.CheckFailed, match="whole"):
+        jobs.run(spark, replace(cfg, arrivals="odd"), ("arrivals",))
