@@ -47,11 +47,11 @@ class View:
         """One scan of the table: a row and its copies come from the same task."""
         words = {"DAYS": SPARK_WORDS["DAYS"].format(self.date), "NAN": SPARK_WORDS["NAN"]}
         rows = load(spark, sf_dir, self.table)
-        copy, copies = fresh("_copy", rows), [F.lit(0)]
+        copy, copies = fresh("_copy", rows), [F.array(F.lit(0))]
         for i, (condition, _) in enumerate(self.repeats, 1):
-            copies.append(F.when(F.expr(condition), i))
+            copies.append(F.when(F.expr(condition), F.array(F.lit(i))).otherwise(F.array().cast("array<int>")))
         if self.repeats:
-            rows = rows.withColumn(copy, F.explode(F.array_compact(F.array(*copies))))
+            rows = rows.withColumn(copy, F.explode(F.concat(*copies)))
         columns = {n: F.expr(e.format(**words)) for n, e in self.columns.items()}
         for i, (_, changed) in enumerate(self.repeats, 1):
             for n, e in changed.items():

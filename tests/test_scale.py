@@ -24,6 +24,12 @@ def test_a_view_reads_its_table_once(spark, tmp_path, plan, rows):
     assert rows(got) == sorted(base + copies, key=repr)
 
 
+def test_a_view_lists_copies_without_a_lambda(spark, tmp_path, plan):
+    # Lambdas are interpreted row by row; all other expressions are compiled.
+    spark.range(4).toDF("id").write.parquet(str(tmp_path / "t.parquet"))
+    assert "lambda" not in plan(SHAPE.frame(spark, str(tmp_path)))
+
+
 def test_quality_report_shuffles_hashes_only(spark, plan):
     df = spark.createDataFrame(
         [(1, None, 0.0), (1, None, -0.0), (None, 1, 2.0), (None, None, float("nan")), (None, None, float("nan"))],
