@@ -117,3 +117,25 @@ def test_bucketed_tables_are_written_where_their_rows_are_read(spark, tmp_path,
     _arrivals(spark, [(1.5, 12000.0, "CA"), (2.5, 12000.0, "CA"), (3.0, 12000.0, "CA")]).write.parquet(f"{tmp_path}/in/odd")
     with pytest.raises(jobs.CheckFailed, match="whole"):
         jobs.run(spark, replace(cfg, arrivals="odd"), ("arrivals",))
+
+
+def test_a_scan_tasks_arrivals_are_sorted_in_parts(spark, tmp_path, monkeypatch, plan, rows):
+    # Half of the tasks' rows in a sort each; NULL, NaN and both zeros are keys like others.
+    cfg = jobs.LakeConfig(f"{tmp_path}/out", f"{tmp_path}/staging", f"{tmp_path}/in")
+    raw = [(c, 12000.0, "CA") for c in (None, float("nan"), float("nan"), -0.0)]
+    raw += [(0.0, 11999.0, "NV")] + [(float(c % 40), 12000.0 + c, "CA") for c in range(60)]
+    source = f"{tmp_path}/in/{cfg.arrivals}"
+    _arrivals(spark, raw).coalesce(1).write.parquet(source)
+    seen, clean = [], jobs.clean_arrivals
+    monkeypatch.setattr(jobs, "clean_arrivals", lambda df, *rest, **named: seen.append(df) or clean(df, *rest, **named))
+    report = jobs.run(spark, cfg, ("arrivals",))
+    assert report.flows[0][1:] == (65, 3, 22, 40) and report.manifest == 1
+    (dealt,) = seen
+    assert plan(dealt).count("FileScan") == 2 and "Exchange" not in plan(dealt)
+    assert rows(dealt) == rows(spark.read.parquet(source))
+    tasks = dealt.select((F.col("cicid") + 0.0).alias("id"), F.spark_partition_id().alias("task")).distinct()
+    assert tasks.select("task").distinct().count() == 2 and tasks.groupBy("id").count().where("count > 1").count() == 0
+    fact = jobs.read_table(spark, cfg, "fact_i94_immigration").selectExpr("cicid + 0.0", "CAST(arrdate AS STRING)")
+    want = clean(_arrivals(spark, raw), cleaning.ARRIVALS_BY_ID).selectExpr(
+        "cicid + 0.0", "CAST(date_add(DATE '1960-01-01', CAST(arrdate AS INT)) AS STRING)")
+    assert rows(fact) == rows(want)
