@@ -21,14 +21,22 @@ def drop_empty_rows(df, subset=None):
     return df.na.drop(how="all", subset=subset)
 
 
-def drop_duplicate_rows(df, keys=None, first_by=()):
+def drop_duplicate_rows(df, keys=None, first_by=(), together=()):
     """Keep one row per distinct row, or per key.
 
     Per key the kept row is the first in the order of the columns ``first_by``, then of all
     other columns, so the result does not depend on partitioning. Columns of ``first_by``
     that the frame lacks are passed over. Spark limits each map task to one row
     per key before the shuffle, so a key that holds much of the data stays cheap.
+
+    Whole rows with columns ``together`` go by these alone to the task that compares them. The map tasks
+    then keep no table of whole rows, which would spill, and rows that differ elsewhere lie side by side in
+    the shuffle. Choose columns that tell most rows apart: all rows that agree in them meet in one task.
     """
+    if keys is None and together:
+        home = fresh("_home", df)
+        dealt = df.withColumn(home, F.hash(*[F.col(quoted(c)) for c in together])).repartition(F.col(home))
+        return dealt.dropDuplicates().drop(home)
     if keys is None:
         return df.dropDuplicates()
     leading = [c for c in first_by if c in df.columns and c not in keys]
@@ -115,7 +123,7 @@ class RowFlow:
 
     Pass it to a ``CleanRule`` and let an action run the plan; ``counts`` then waits for the numbers.
     Rows read, and those without a required value, are counted before the first step; rows left
-    after each step behind it.
+    after each step behind it. A rule that cleans a dataset in shares is passed it for each of them.
     """
 
     def __init__(self, dataset):
@@ -123,8 +131,9 @@ class RowFlow:
         self._seen = {}
 
     def _observe(self, df, name, *columns):
-        self._seen[name] = Observation()
-        return df.observe(self._seen[name], F.count(F.lit(1)).alias("rows"), *columns)
+        seen = Observation()
+        self._seen.setdefault(name, []).append(seen)
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"), *columns)
 
     def read(self, df, required):
         present = F.lit(False)
@@ -142,8 +151,9 @@ class RowFlow:
         """The ``FlowCount``; None if no rule was observed."""
         if len(self._seen) < 3:
             return None
-        read, present, kept = (self._seen[n].get for n in ("read", "present", "kept"))
-        return FlowCount(self.dataset, read["rows"], read["emptied"], present["rows"] - kept["rows"], kept["rows"])
+        read, present, kept = (sum(s.get["rows"] for s in self._seen[n]) for n in ("read", "present", "kept"))
+        emptied = sum(s.get["emptied"] for s in self._seen["read"])
+        return FlowCount(self.dataset, read, emptied, present - kept, kept)
 
 
 @dataclass(frozen=True)
@@ -153,6 +163,7 @@ class CleanRule:
     ``first_by`` orders the rows of a key before all other columns do, so that the kept row's
     values in these columns do not depend on which further columns were read. ``thresh`` is for
     jobs: columns whose rounded missing ratio after cleaning exceeds it are sparse and emptied.
+    ``together`` is for whole rows, see ``drop_duplicate_rows``.
     """
 
     drop_cols: tuple = ()
@@ -160,6 +171,7 @@ class CleanRule:
     keys: tuple | None = None
     first_by: tuple = ()
     thresh: float | None = None
+    together: tuple = ()
 
     def __call__(self, df, flow=None):
         required = list(self.required) if self.required else None
@@ -169,7 +181,7 @@ class CleanRule:
         df = drop_empty_rows(df, required)
         if flow:
             df = flow.present(df)
-        df = drop_duplicate_rows(df, list(self.keys) if self.keys else None, self.first_by)
+        df = drop_duplicate_rows(df, list(self.keys) if self.keys else None, self.first_by, self.together)
         return flow.kept(df) if flow else df
 
 

@@ -37,6 +37,10 @@ BUCKETED = ("dim_immigrant", "fact_i94_immigration")
 #: Tasks that share a scan task's rows. A row group of 128 MB holds some 1.1 GB of arrivals to sort, with the
 #: sort's own arrays 1.4 GB: more than one of four tasks of a 6 GB heap has.
 SORT_PARTS = 2
+#: Columns that tell most arrivals apart, and shares in which whole rows are compared: a shuffled partition
+#: of 128 MB holds some 0.6 GB of whole rows in a hash table, and Spark plans two such tables in a task.
+RECORD = ("cicid", "admnum", "arrdate", "fltno")
+WHOLE_ROW_PARTS = 3
 
 
 @dataclass(frozen=True)
@@ -222,6 +226,19 @@ def clean_arrivals(raw, rule, monthly=False, flow=None, one_row_per_key=False, r
     return rule(raw, flow) if flow else rule(raw)
 
 
+def clean_whole_arrivals(raw, rule, monthly=False, flow=None):
+    """The rows of ``clean_arrivals`` for a rule without a row key, if the source lies in files.
+
+    Equal rows agree in their record's columns, so shares by these are cleaned each by itself.
+    """
+    together = tuple(c for c in RECORD if c in raw.columns and c not in rule.drop_cols)
+    if not together:
+        return clean_arrivals(raw, rule, monthly, flow)
+    rule = replace(rule, together=together)
+    return reduce(DataFrame.union, [
+        clean_arrivals(share, rule, monthly, flow) for share in _shares(raw, together, WHOLE_ROW_PARTS)])
+
+
 def _monthly_rule(rule, one_row_per_key=False):
     """The rule for rows that carry their month, which is never missing."""
     keys = rule.keys if one_row_per_key else (*rule.keys, *ARRIVAL_MONTH) if rule.keys else None
@@ -308,8 +325,12 @@ def _in_parts(df, keys, parts=SORT_PARTS):
     Every task reads its files' rows and goes on with its share of the keys: a key's rows stay together, and
     nothing is shuffled. Only for rows that lie in files, which read the same every time and cheaply.
     """
+    return reduce(DataFrame.union, _shares(df, keys, parts))
+
+
+def _shares(df, keys, parts):
     share = F.pmod(F.hash(*keys), F.lit(parts))
-    return reduce(DataFrame.union, [df.filter(share == i) for i in range(parts)])
+    return [df.filter(share == i) for i in range(parts)]
 
 
 def _arrivals(spark, cfg, run):

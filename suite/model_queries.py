@@ -360,7 +360,7 @@ def join_fact_immigrant_bucketed(spark, sf_dir):
     FROM kept f JOIN i ON f.cicid = i.cicid""")
 def join_fact_immigrant_full_row(spark, sf_dir):
     """Cleaned by whole rows: ids are missing, NaN and repeated on both sides."""
-    rows = jobs.clean_arrivals(ARRIVALS.frame(spark, sf_dir), cleaning.FULL_ROW)
+    rows = jobs.clean_whole_arrivals(ARRIVALS.frame(spark, sf_dir), cleaning.FULL_ROW)
     cleaned = writers.stage_parquet(rows.select(*model.arrivals_model_columns()), scratch_dir(spark, "rows"))
     joined = star.fact_with_immigrant(model.fact_arrivals(cleaned), model.dim_immigrant(cleaned))
     return _iso(joined.select(*JOINED), "arrdate")

@@ -139,3 +139,22 @@ def test_a_scan_tasks_arrivals_are_sorted_in_parts(spark, tmp_path, monkeypatch,
     want = clean(_arrivals(spark, raw), cleaning.ARRIVALS_BY_ID).selectExpr(
         "cicid + 0.0", "CAST(date_add(DATE '1960-01-01', CAST(arrdate AS INT)) AS STRING)")
     assert rows(fact) == rows(want)
+
+
+# Rows that differ in one column, or in NULL against NaN or empty text; both zeros are equal.
+WHOLE = [(1.0, 12000.0, "CA")] * 3 + [(1.0, 12000.0, "NV"), (1.0, None, "CA"), (1.0, float("nan"), "CA"), (0.0, 12000.0, None),
+         (0.0, 12000.0, ""), (-0.0, 12000.0, "")] + [(None, None, "CA"), (float("nan"), None, "CA")] * 2 + [(None, None, None)]
+
+
+def test_whole_rows_meet_by_their_record_without_a_table_in_the_scan_task(spark, tmp_path, plan, rows):
+    _arrivals(spark, WHOLE + [(float(c % 40), 12000.0, "CA") for c in range(2, 60)]).repartition(4).write.parquet(f"{tmp_path}/raw")
+    raw = spark.read.parquet(f"{tmp_path}/raw")
+    flow = cleaning.RowFlow("arrivals")
+    got = jobs.clean_whole_arrivals(raw, cleaning.FULL_ROW, flow=flow)
+    scanned = [part.split("FileScan")[0] for part in plan(got).split("Exchange hashpartitioning(")[1:]]
+    assert len(scanned) == jobs.WHOLE_ROW_PARTS and not any("Aggregate" in s for s in scanned)
+    want = rows(cleaning.FULL_ROW(raw))
+    assert len(want) == 47 and rows(got) == want
+    assert flow.counts()[1:] == (72, 1, 24, 47)
+    dropped = replace(cleaning.FULL_ROW, drop_cols=("i94addr", *jobs.RECORD))
+    assert rows(jobs.clean_whole_arrivals(raw, dropped)) == rows(dropped(raw)) == []
