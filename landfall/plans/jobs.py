@@ -20,6 +20,7 @@ from landfall.functions.missing import is_present
 from landfall.operators import cleaning
 from landfall.operators.joins import sized_semi_join
 from landfall.plans import model, profile, quality, star
+from landfall.session import free_disk
 from landfall.sources import bucketed, quarantine, readers, versions, writers
 from landfall.sources.paths import join_path
 
@@ -340,8 +341,13 @@ def _arrivals(spark, cfg, run):
     dealt = _in_parts(raw, rule.keys) if getattr(rule, "keys", None) else raw
     if _lies_by_bucket_key(cfg):
         cleaned = _clean_by_bucket_key(dealt, rule, flow)
+    elif isinstance(rule, cleaning.CleanRule) and not rule.keys:
+        cleaned = clean_whole_arrivals(raw, rule, cfg.monthly, flow)
     else:
         cleaned = clean_arrivals(dealt, rule, cfg.monthly, flow, cfg.one_row_per_key)
+    if not cfg.monthly:
+        wanted = set(model.arrivals_model_columns())
+        cleaned = cleaned.select([c for c in cleaned.columns if c in wanted])
     thresh = getattr(rule, "thresh", None)
     measures = cleaning.missing_counts(cleaned) if thresh is not None else None
     tables, staged, columns = {}, None, cleaned.columns
@@ -353,6 +359,7 @@ def _arrivals(spark, cfg, run):
         staged, schema = join_path(cfg.staging, f"arrivals-{run}"), cleaned.schema
         measured = writers.write_measured(cleaned, staged, measures)
         cleaned = spark.read.schema(schema).parquet(staged)
+    free_disk(spark)
     flows = _flows(flow, raw, rule, measured["rows"])
     if thresh is not None:
         sparse = cleaning.sparse_columns(columns, measured, thresh)
@@ -360,6 +367,7 @@ def _arrivals(spark, cfg, run):
     checked = _arrivals_tables(spark, cfg, run, cleaned)
     if staged:
         writers.remove_staged(spark, staged)
+    free_disk(spark)
     return _Written(tables | {t: parts for t, (parts, _) in checked.items()}, [c for _, c in checked.values()], flows)
 
 

@@ -1,5 +1,6 @@
 """Session settings for large runs, and the shared scratch folder."""
 
+import gc
 import tempfile
 import uuid
 
@@ -54,6 +55,18 @@ def build_session(app_name, conf=None, master=None):
     return builder.getOrCreate()
 
 
+def free_disk(spark):
+    """Have Spark delete the shuffle files of finished queries now.
+
+    By itself it does so when the driver's garbage collector finds their plans, which may be long after
+    the last use. Files of running queries, and of frames still held, stay. The empty query takes the
+    place of the last one as the newest that Spark's listeners have seen, which they hold on to.
+    """
+    gc.collect()
+    spark.sql("SELECT 1").collect()
+    spark._jvm.System.gc()
+
+
 def scratch_dir(spark, name):
     """A new path for ``name`` that every executor can reach, removed when Spark ends.
 

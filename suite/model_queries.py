@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from landfall.operators import cleaning
 from landfall.plans import jobs, model, quality, questions, star
-from landfall.session import scratch_dir
+from landfall.session import free_disk, scratch_dir
 from landfall.sources import writers
 from landfall.sources.paths import join_path
 from suite.inputs import ARRIVALS, DEMOGRAPHICS, TEMPERATURES, load
@@ -362,6 +362,8 @@ def join_fact_immigrant_full_row(spark, sf_dir):
     """Cleaned by whole rows: ids are missing, NaN and repeated on both sides."""
     rows = jobs.clean_whole_arrivals(ARRIVALS.frame(spark, sf_dir), cleaning.FULL_ROW)
     cleaned = writers.stage_parquet(rows.select(*model.arrivals_model_columns()), scratch_dir(spark, "rows"))
+    del rows
+    free_disk(spark)
     joined = star.fact_with_immigrant(model.fact_arrivals(cleaned), model.dim_immigrant(cleaned))
     return _iso(joined.select(*JOINED), "arrdate")
 

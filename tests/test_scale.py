@@ -1,5 +1,6 @@
 """What keeps the shared steps' shuffles in proportion to the rows that need them."""
 
+import time
 from dataclasses import replace
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from landfall.operators import cleaning
 from landfall.plans import jobs, quality
+from landfall.session import free_disk
 from landfall.sources import writers
 from suite.inputs import View
 
@@ -158,3 +160,49 @@ def test_whole_rows_meet_by_their_record_without_a_table_in_the_scan_task(spark,
     assert flow.counts()[1:] == (72, 1, 24, 47)
     dropped = replace(cleaning.FULL_ROW, drop_cols=("i94addr", *jobs.RECORD))
     assert rows(jobs.clean_whole_arrivals(raw, dropped)) == rows(dropped(raw)) == []
+
+
+def test_whole_rows_stage_the_models_columns_only(spark, tmp_path, monkeypatch):
+    cfg = jobs.LakeConfig(f"{tmp_path}/out", f"{tmp_path}/staging", f"{tmp_path}/in", arrivals_rule=cleaning.FULL_ROW)
+    _arrivals(spark, ARRIVED).withColumn("insnum", F.col("cicid").cast("string")).write.parquet(f"{tmp_path}/in/{cfg.arrivals}")
+    staged, write = [], writers.write_measured
+    monkeypatch.setattr(writers, "write_measured", lambda df, path, *rest, **named: (
+        staged.append(df.columns) if path.startswith(cfg.staging) else None) or write(df, path, *rest, **named))
+    report = jobs.run(spark, cfg, ("arrivals",))
+    assert staged == [jobs.model.arrivals_model_columns()] and report.manifest == 1
+    assert report.flows[0][1:] == (5, 0, 1, 4)
+
+
+def test_a_check_shuffles_one_hash_a_row(spark, monkeypatch, plan):
+    seen, count = [], quality.duplicate_count
+    monkeypatch.setattr(quality, "duplicate_count", lambda df: seen.append(plan(df)) or count(df))
+    df = spark.createDataFrame([(1, None), (1, None), (None, 1), (None, 1), (None, None)], "a long, b long")
+    assert quality.check_table(df, "t")[:4] == ("t", 5, 2, "failed")
+    assert seen[0].count("hashpartitioning(") == 1 and "hash(a" not in seen[0].replace("xxhash64(a", "")
+
+
+def _shuffle_files(spark):
+    kept = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (kept.apply(i).getName() for i in range(kept.size())) if n.startswith("shuffle_")}
+
+
+def test_a_finished_querys_shuffle_files_go_when_asked(spark):
+    before = _shuffle_files(spark)
+    spark.range(100).repartition(3).write.format("noop").mode("overwrite").save()
+    new = _shuffle_files(spark) - before
+    free_disk(spark)
+    until = time.time() + 30
+    while new & _shuffle_files(spark) and time.time() < until:
+        time.sleep(0.2)
+    assert new and not new & _shuffle_files(spark)
+
+
+def test_cleanings_shuffle_is_freed_before_the_tables_are_written(spark, tmp_path, monkeypatch):
+    cfg = jobs.LakeConfig(f"{tmp_path}/out", f"{tmp_path}/staging", f"{tmp_path}/in")
+    _arrivals(spark, ARRIVED).write.parquet(f"{tmp_path}/in/{cfg.arrivals}")
+    steps, write = [], writers.write_measured
+    monkeypatch.setattr(jobs, "free_disk", lambda _: steps.append("freed"))
+    monkeypatch.setattr(writers, "write_measured", lambda df, path, *rest, **named: (
+        steps.append("staged" if path.startswith(cfg.staging) else "table"), write(df, path, *rest, **named))[1])
+    jobs.run(spark, cfg, ("arrivals",))
+    assert steps == ["staged", "freed", "table", "table", "table", "freed"]
